@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import chat, secrets, url_filter, warc
+from paperloom.llm import chat, decontam, lmscore, packing, secrets, toxicity, url_filter, warc
+from paperloom.llm.common import crc_mod
 
 #: Rows of an Arrow batch, so that a batch of very long texts stays small.
 BATCH_ROWS = "1000"
@@ -98,12 +100,38 @@ UNION ALL SELECT pair_id, 'rejected', turn, tie, r, rr = 'assistant' FROM f WHER
 """
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.find_items(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
+    return lmscore.score(docs.withColumn("held_out", held_out), docs.where(~held_out))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_best_fit_packing": op2_best_fit_packing,
         "op3_url_filter": op3_url_filter,
         "op4_secret_scan": op4_secret_scan,
+        "op5_decontaminate": op5_decontaminate,
+        "op6_toxicity": op6_toxicity,
         "op8_warc": op8_warc,
         "op9_chat_format": op9_chat_format,
+        "op10_lm_score": op10_lm_score,
     }
 
 

@@ -22,6 +22,7 @@ from heapq import nsmallest
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -33,6 +34,7 @@ _CLASS = str.maketrans(
     {**{c: "h" for c in "abcdef"}, **{c: "l" for c in "ghijklmnopqrstuvwxyz"}, **{c: "H" for c in "ABCDEF"}, **{c: "U" for c in "GHIJKLMNOPQRSTUVWXYZ"}, **{c: "d" for c in "0123456789"}, **{c: "s" for c in "+/_.=-"}}
 )
 SYMBOLS = 7  # six classes and the end
+SPANS = StructType.fromDDL("spans array<struct<start:int,end:int,kind:string>>")
 LONGEST = 200  # characters of a token that a format is read over at a time
 
 
@@ -214,7 +216,7 @@ def fit_formats(docs: DataFrame, text: str = "text", examples: int = 400, ordina
 def scan(docs: DataFrame, formats: Formats, text: str = "text", redacted: bool = False) -> DataFrame:
     """Adds ``spans`` (array of start, end, kind), or with ``redacted`` replaces the text."""
     model = docs.sparkSession.sparkContext.broadcast(formats)
-    schema = docs.schema if redacted else docs.drop("spans").schema.add("spans", "array<struct<start:int,end:int,kind:string>>")
+    schema = docs.schema if redacted else StructType([*docs.drop("spans").schema, *SPANS])
     names = [f.name for f in schema]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
