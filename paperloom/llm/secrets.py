@@ -21,26 +21,48 @@ from collections.abc import Iterator
 from heapq import nsmallest
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from paperloom.llm.common import materialize
+
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # 20 characters or more
-HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")  # whole runs only
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+HEX = re.compile(r"[0-9a-f]{24,}")  # a leftmost match is a whole run
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 WORD = re.compile(r"[A-Za-z0-9+/_.=-]{4,}")
 _CLASS = str.maketrans(
     {**{c: "h" for c in "abcdef"}, **{c: "l" for c in "ghijklmnopqrstuvwxyz"}, **{c: "H" for c in "ABCDEF"}, **{c: "U" for c in "GHIJKLMNOPQRSTUVWXYZ"}, **{c: "d" for c in "0123456789"}, **{c: "s" for c in "+/_.=-"}}
 )
 SYMBOLS = 7  # six classes and the end
-SPANS = StructType.fromDDL("spans array<struct<start:int,end:int,kind:string>>")
 LONGEST = 200  # characters of a token that a format is read over at a time
 
 
+def may_assign(text: str) -> bool:
+    """Whether any separator follows a keyword; most texts need no further look."""
+    for mark in ":=":
+        at = -1
+        while (at := text.find(mark, at + 1)) >= 0:
+            p = at
+            while p and text[p - 1] == " ":
+                p -= 1
+            if p and text[p - 1] in "\"'":
+                p -= 1
+            if text[max(0, p - 8) : p].lower().endswith(KEYWORDS):
+                return True
+    return False
+
+
+def assignments(text: str) -> list[re.Match]:
+    return [m for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6] if may_assign(text) else []
+
+
 def pattern_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, kind number, end) of the fixed patterns' matches that are long enough."""
-    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+    spans = [(m.start(), 0, m.end()) for m in assignments(text)]
     spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     return spans + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
@@ -190,24 +212,29 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 def fit_formats(docs: DataFrame, text: str = "text", examples: int = 400, ordinary: int = 2000) -> Formats:
     """Fits the automata on the ``examples`` credentials of each kind, and as many ordinary tokens, that have the smallest hashes."""
 
+    most = {**dict.fromkeys(KINDS[:3], examples), "word": ordinary}
+
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = set()
+            rows, words = set(), {}
             for t in pdf[text].fillna(""):
-                for m in ASSIGN.finditer(t):
-                    if len(m[2]) >= 6:
-                        rows.add(("assign", m[2][:LONGEST]))
+                rows.update(("assign", m[2][:LONGEST]) for m in assignments(t))
                 rows.update(("access", m[0][:LONGEST]) for m in ACCESS.finditer(t))
                 rows.update(("hex", m[0][:LONGEST]) for m in HEX.finditer(t))
-            words = {("word", w[:LONGEST]) for w in set().union(*map(WORD.findall, pdf[text].fillna("")))}
-            best = lambda found, n: nsmallest(n, found, key=lambda x: hashlib.md5(x[1].encode()).digest())
-            keep = [x for kind in KINDS[:3] for x in best({r for r in rows if r[0] == kind}, examples)] + best(words, ordinary)
+            for w in set().union(*map(str.split, pdf[text].fillna(""))):
+                words[xxhash.xxh3_64_intdigest(w)] = w
+            for h in nsmallest(3 * ordinary, words):
+                if WORD.fullmatch(words[h]):
+                    rows.add(("word", words[h][:LONGEST]))
+            words.clear()
+            order = lambda x: xxhash.xxh3_64_intdigest(x[1])
+            keep = [x for kind, n in most.items() for x in nsmallest(n, [r for r in rows if r[0] == kind], key=order)]
             yield pd.DataFrame(keep, columns=["kind", "value"])
 
-    found = docs.select(text).mapInPandas(gather, "kind string, value string").distinct()
+    found = materialize(docs.select(text).mapInPandas(gather, "kind string, value string").distinct(), "credentials")
     labelled: dict[str, list[str]] = {}
-    for kind, n in (*((k, examples) for k in KINDS[:3]), ("word", ordinary)):
-        rows = found.where(F.col("kind") == kind).orderBy(F.md5("value"), "value").limit(n).collect()  # bounded by n
+    for kind, n in most.items():
+        rows = found.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(n).collect()  # bounded by n
         labelled[kind] = [r["value"] for r in rows]
     words = [w for w in labelled.pop("word") if not pattern_spans(w)]
     return Formats(labelled, words)
@@ -216,7 +243,7 @@ def fit_formats(docs: DataFrame, text: str = "text", examples: int = 400, ordina
 def scan(docs: DataFrame, formats: Formats, text: str = "text", redacted: bool = False) -> DataFrame:
     """Adds ``spans`` (array of start, end, kind), or with ``redacted`` replaces the text."""
     model = docs.sparkSession.sparkContext.broadcast(formats)
-    schema = docs.schema if redacted else StructType([*docs.drop("spans").schema, *SPANS])
+    schema = docs.schema if redacted else StructType([*docs.drop("spans").schema, *StructType.fromDDL("spans array<struct<start:int,end:int,kind:string>>")])
     names = [f.name for f in schema]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
