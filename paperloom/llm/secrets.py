@@ -164,9 +164,12 @@ class Formats:
         self.margin = margin
 
     def is_credential(self, token: str) -> bool:
-        """Any stretch of the token follows a format better than the background, by the margin per character."""
+        """Any stretch of the token follows a format better than the background, by the margin per character.
+
+        Plain words and plain numbers (cards, phones) are no credentials.
+        """
         classes = token.translate(_CLASS)
-        if "d" not in classes:
+        if "d" not in classes or not set(classes) & set("hlHU"):
             return False
         for k in range(0, len(classes), LONGEST):
             part = classes[k : k + LONGEST]
