@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import chat, decontam, lmscore, packing, secrets, toxicity, url_filter, warc
+from paperloom.llm import chat, decontam, embed_dedup, lmscore, ngram_join, packing, secrets, toxicity, url_filter, warc
 from paperloom.llm.common import crc_mod
 
 #: Rows of an Arrow batch, so that a batch of very long texts stays small.
@@ -59,6 +59,24 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_spans(docs, secrets.fit_formats(docs))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CASE WHEN list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0
+                      THEN embedding::DOUBLE[] END AS e
+  FROM embeddings
+), u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE e IS NOT NULL),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+n AS (SELECT x, count(*) AS k FROM links GROUP BY x), c AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
+SELECT vec_id, coalesce(k, 0)::BIGINT AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, least(vec_id, coalesce(m, vec_id)) = vec_id AS kept
+FROM v LEFT JOIN n ON n.x = vec_id LEFT JOIN c ON c.x = vec_id
+"""
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive_round_trip(_table(spark, sf_dir, "pages"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -100,6 +118,28 @@ UNION ALL SELECT pair_id, 'rejected', turn, tie, r, rr = 'assistant' FROM f WHER
 """
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS items
+  FROM w
+), s AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.item = b.item AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach(x, y) AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, len(items)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM sets LEFT JOIN (SELECT x, min(y) AS m FROM reach GROUP BY x) ON x = doc_id
+"""
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -124,11 +164,13 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_url_filter": op3_url_filter,
         "op4_secret_scan": op4_secret_scan,
         "op5_decontaminate": op5_decontaminate,
         "op6_toxicity": op6_toxicity,
+        "op7_embedding_dedup": op7_embedding_dedup,
         "op8_warc": op8_warc,
         "op9_chat_format": op9_chat_format,
         "op10_lm_score": op10_lm_score,
@@ -136,4 +178,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": OP3_SQL, "op8_warc": OP8_SQL, "op9_chat_format": OP9_SQL}
+    return {"op1_ngram_join": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_embedding_dedup": OP7_SQL, "op8_warc": OP8_SQL, "op9_chat_format": OP9_SQL}
