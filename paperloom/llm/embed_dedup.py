@@ -85,7 +85,7 @@ def named(vectors: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             good = [usable(v) for v in pdf.embedding]
-            yield pd.DataFrame({"vec_id": pdf.vec_id.astype("Int64"), "name": [None if v is None else xxhash.xxh3_128_digest(v.tobytes()) for v in good], "embedding": good})
+            yield pd.DataFrame({"vec_id": pdf.vec_id.astype("Int64"), "name": [None if v is None else xxhash.xxh3_128_digest(v.tobytes()) for v in good], "embedding": pd.Series(good, pdf.index, object)})
 
     return materialize(vectors.select("vec_id", "embedding").mapInPandas(run, "vec_id long, name binary, embedding array<double>"), "vectors")
 

@@ -255,6 +255,8 @@ def score(docs: DataFrame, training: DataFrame, core: float = 1e-6, kept: float
                 path = fsm.traverse(ids.tolist())
                 base = float(log_n[ids[inside]].sum()) - unit * len(words)
                 rows.append((len(words), int(inside.sum()), base, path - unit * len(rare), np.fromiter(map(_hash.__getitem__, rare), np.uint64, len(rare)).view(np.int64)))
+            if not rows:
+                continue
             pdf[["n_tokens", "__in_core", "__base", "__score", "__rare"]] = pd.DataFrame(rows, columns=["n_tokens", "__in_core", "__base", "__score", "__rare"], index=pdf.index)
             yield pdf
 

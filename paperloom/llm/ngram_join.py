@@ -223,7 +223,7 @@ class Join:
                 spot = pdf.spot.to_numpy(np.int64)
                 hit = shared.value[spot >> 6] >> (spot & 63) & 1 == 1
                 part = pdf[hit]
-                yield pd.DataFrame({"node": part.node, "items": [shingles(t, shingle_words).view(np.int64) for t in part.text]})
+                yield pd.DataFrame({"node": part.node, "items": pd.Series([shingles(t, shingle_words).view(np.int64) for t in part.text], part.index, object)})
 
         docs = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text").withColumn("spot", spot)
         found = docs.mapInPandas(run, "node long, items array<long>")
