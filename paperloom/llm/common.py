@@ -9,7 +9,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -60,23 +59,57 @@ def ascii_words(text: str | None) -> list[bytes]:
     return text.encode().translate(_LOWER).split() if text else []
 
 
-class WordHash(dict):
-    """Remembers 64-bit word hashes; forgets everything past a bounded size."""
+_TABLE = np.random.default_rng(20240229).integers(0, 1 << 64, 256, np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)  # 5 modulo 16
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-    LIMIT = 1_000_000
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_powers[0]) < n:
+        for k, base in enumerate((_BASE, _INVERSE)):
+            row = np.full(n, base, np.uint64)
+            row[0] = 1
+            _powers[k] = np.multiply.accumulate(row)
+    return _powers[0], _powers[1]
 
 
-_hashes = WordHash()
+def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in order, and each text's number of words.
 
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased. A word's hash is a polynomial of random byte values,
+    taken as a difference of prefix sums over the joined texts, so that no word is handled on its own.
+    """
+    parts = [t.encode() if t else b"" for t in texts]
+    raw = np.frombuffer(b"\n".join([*parts, b""]).translate(_LOWER), np.uint8)
+    space = _SPACE[raw]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
+    start, end = edge[::2], edge[1::2]
+    up, down = _powers_up_to(len(raw) + 1)
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_TABLE[raw] * up[: len(raw)], out=total[1:])
+    size = (end - start).astype(np.uint64)
+    hashes = mix64((total[end] - total[start]) * down[start] + size * _BASE)
+    offsets = np.cumsum([len(p) + 1 for p in parts]) if parts else np.empty(0, np.int64)
+    counts = np.diff(np.concatenate([[0], np.searchsorted(start, offsets)]))
+    return hashes, counts
+
+
+def batched_words(texts: list[str | None], most: int = 2_000_000) -> list[np.ndarray]:
+    """The word hashes of each text; texts are joined up to about ``most`` characters at a time."""
+    out: list[np.ndarray] = []
+    i = 0
+    while i < len(texts):
+        j, n = i, 0
+        while j < len(texts) and (j == i or n + len(texts[j] or "") <= most):
+            n += len(texts[j] or "")
+            j += 1
+        hashes, counts = hash_words(texts[i:j])
+        out += np.split(hashes, np.cumsum(counts)[:-1])
+        i = j
+    return out
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -7,7 +7,8 @@ pairs and triples of them that make up at least ``kept``, become the automaton:
 what is broadcast. Its states are the histories that have kept continuations; an arc
 carries a discounted log-probability, and a failure arc the weight with which a
 state backs off to its shorter history. One traversal from left to right carries the state
-and adds up the log-probabilities. A word without an arc at the root costs
+and adds up the log-probabilities; as a state is what its last two words say, a text's
+states are found for all its words at once. A word without an arc at the root costs
 log10((c + 1) / (N + V + 1)), with c from the join. All probabilities of a state
 add up to one.
 
@@ -19,18 +20,17 @@ each for itself; an empty training set makes every word unknown.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from paperloom.llm.common import WordHash, ascii_words, materialize
+from paperloom.llm.common import batched_words, materialize
 
-FINISH = b""  # the end token; no word is empty
+FINISH = np.array([0x5EED0F7EE7D06], np.int64)  # the end token's key
 DISCOUNT = 0.5
 FLUSH = 1_500_000
 
@@ -68,16 +68,18 @@ class Tally:
         self.parts, self.held = [], 0
 
 
-_hash = WordHash()
+def token_keys(texts: list[str | None]) -> list[np.ndarray]:
+    """The keys of each text's words and its end."""
+    return [np.concatenate([h.view(np.int64), FINISH]) for h in batched_words(texts)]
 
 
 def _counted(texts: DataFrame, keys_of) -> DataFrame:
-    """Counts of the int64 keys that ``keys_of(words)`` makes of each text, summed over the table."""
+    """Counts of the int64 keys that ``keys_of()`` makes of a text's token keys, summed over the table."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, tally = keys_of(), Tally()
         for pdf in batches:
-            found = [keys(ascii_words(t)) for t in pdf.text]
+            found = [keys(k) for k in token_keys(list(pdf.text))]
             if found:
                 tally.add(np.concatenate(found))
             if tally.full():
@@ -87,40 +89,26 @@ def _counted(texts: DataFrame, keys_of) -> DataFrame:
     return texts.select("text").mapInPandas(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _word_keys():
-    def keys(words: list[bytes]) -> np.ndarray:
-        words.append(FINISH)
-        return np.fromiter(map(_hash.__getitem__, words), np.uint64, len(words)).view(np.int64)
+def _each():
+    return lambda keys: keys
 
-    return keys
 
-
-class CoreIds(dict):
-    """Numbers of the core words, -1 for others; remembers words up to a bounded number."""
-
-    LIMIT = 400_000
-
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.hashes = hashes  # sorted
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = np.uint64(_hash[word]).astype(np.int64)
-        at = int(np.searchsorted(self.hashes, h))
-        self[word] = out = at if at < len(self.hashes) and self.hashes[at] == h else -1
-        return out
+def core_ids(keys: np.ndarray, core: np.ndarray) -> np.ndarray:
+    """Places of the keys among the sorted core keys, -1 for others."""
+    if not len(core):
+        return np.full(len(keys), -1, np.int64)
+    at = np.minimum(np.searchsorted(core, keys), len(core) - 1)
+    return np.where(core[at] == keys, at, -1)
 
 
 def _run_keys(shared, size: int, n: int, allowed):
     """Keys of the runs of n core words; runs that do not start and end with an allowed shorter run are left out."""
 
     def make():
-        ids_of, short = CoreIds(shared.value), allowed.value if allowed else None
+        core, short = shared.value, allowed.value if allowed else None
 
-        def keys(words: list[bytes]) -> np.ndarray:
-            words.append(FINISH)
-            ids = np.fromiter(map(ids_of.__getitem__, words), np.int64, len(words))
+        def keys(tokens: np.ndarray) -> np.ndarray:
+            ids = core_ids(tokens, core)
             if len(ids) < n:
                 return ids[:0]
             pair = ids[:-1] * size + ids[1:]
@@ -139,90 +127,78 @@ def _run_keys(shared, size: int, n: int, allowed):
 
 @dataclass
 class BackoffAutomaton:
-    """States are numbered; 0 is the root. ``arcs`` maps state * size + word to (log10 probability, next state)."""
+    """Histories as states, sorted keys as arcs, failure weights per state.
+
+    The root is state 0; a state of one word is 1 + its number; a state of two words is known by its pair's
+    place. The state after a word is the longest suffix of what was read that is a state. Where a state
+    has no arc for the next word, its failure arc leads to its history without the first word.
+    """
 
     size: int
-    arcs: dict[int, tuple[float, int]] = field(default_factory=dict)
-    back: list[tuple[float, int]] = field(default_factory=lambda: [(0.0, 0)])
-    resolved: dict[int, tuple[float, int]] = field(default_factory=dict)
-
-    def step(self, state: int, word: int) -> tuple[float, int]:
-        """Log-probability and next state of a core word, by failure arcs where the state has none."""
-        cost, at = 0.0, state
-        while (arc := self.arcs.get(at * self.size + word)) is None:
-            weight, at = self.back[at]
-            cost += weight
-        return cost + arc[0], arc[1]
-
-    def leave(self, state: int) -> float:
-        """What it costs to fall from a state to the root."""
-        cost = 0.0
-        while state:
-            weight, state = self.back[state]
-            cost += weight
-        return cost
-
-    def traverse(self, ids: list[int]) -> float:
-        """Log10 probability of a text's words; words outside the core (-1) count only their failure arcs."""
-        total, state, seen, size = 0.0, 0, self.resolved, self.size
-        for w in ids:
-            if w < 0:
-                total += self.leave(state)
-                state = 0
-                continue
-            key = state * size + w
-            found = seen.get(key)
-            if found is None:
-                if len(seen) > 400_000:
-                    seen.clear()
-                found = seen[key] = self.step(state, w)
-            total += found[0]
-            state = found[1]
-        return total
-
-
-def build_automaton(core: np.ndarray, total: int, distinct: int, pairs: dict[int, int], triples: dict[int, int], pair_keys: np.ndarray) -> BackoffAutomaton:
-    """``core``: counts by core number; ``pairs``: count by first * size + second; ``triples``: count by place of the pair in ``pair_keys`` * size + third."""
+    root: np.ndarray  # log10 probability of each core word
+    pairs: np.ndarray  # sorted first * size + second
+    pair_log: np.ndarray
+    one_fail: np.ndarray  # failure weight by word; 0 where the word is no state
+    triples: np.ndarray  # sorted place of the pair * size + third
+    triple_log: np.ndarray
+    two_fail: np.ndarray  # failure weight by the pair's place; 0 where the pair is no state
+
+    def traverse(self, ids: np.ndarray) -> float:
+        """Log10 probability of a text's words; words outside the core (-1) cost only the failure arcs of the state they meet."""
+        n = len(ids)
+        if not n:
+            return 0.0
+        inside = ids >= 0
+        u = np.concatenate([[-1], ids[:-1]])
+        arc2 = self._find(self.pairs, np.where(inside & (u >= 0), u * self.size + ids, -1))  # the pair each word ends
+        held = np.concatenate([[-1], arc2[:-1]])  # the two-word history each word meets
+        arc3 = self._find(self.triples, np.where(inside & (held >= 0), held * self.size + ids, -1))
+        fail2 = np.where(held >= 0, self.two_fail[held], 0.0) if len(self.two_fail) else np.zeros(n)
+        fail1 = np.where(u >= 0, self.one_fail[u], 0.0)
+        lower = np.where(arc2 >= 0, self.pair_log[arc2] if len(self.pair_log) else 0.0, fail1 + np.where(inside, self.root[ids], 0.0))
+        return float(np.where(arc3 >= 0, self.triple_log[arc3] if len(self.triple_log) else 0.0, fail2 + lower).sum())
+
+    @staticmethod
+    def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Places of the wanted keys, -1 for those that are not there."""
+        if not len(keys):
+            return np.full(len(wanted), -1, np.int64)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, at, -1)
+
+
+def _failure(group: np.ndarray, states: int, mass: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Per state the log10 weight that makes its kept and backed-off probabilities add up to one."""
+    kept, below = np.bincount(group, mass, states), np.bincount(group, lower, states)
+    return np.where(kept > 0, np.log10(np.maximum(1 - kept, 1e-9) / np.maximum(1 - below, 1e-9)), 0.0)
+
+
+def build_automaton(core: np.ndarray, total: int, distinct: int, pairs: np.ndarray, pair_n: np.ndarray, triples: np.ndarray, triple_n: np.ndarray) -> BackoffAutomaton:
+    """``core``: counts by core number; ``pairs``: sorted first * size + second; ``triples``: sorted place of the pair * size + third."""
     size = max(1, len(core))
-    out = BackoffAutomaton(size)
-    uni = [math.log10((c + 1) / (total + distinct + 1)) for c in core.tolist()]
-    after: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for key, n in pairs.items():
-        after[key // size].append((key % size, n))
-    then: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for key, n in triples.items():
-        then[int(pair_keys[key // size])].append((key % size, n))
-    one = {u: i + 1 for i, u in enumerate(sorted(after))}
-    two = {p: len(one) + 1 + i for i, p in enumerate(sorted(then))}
-    out.back += [(0.0, 0)] * (len(one) + len(two))
-    for w, p in enumerate(uni):
-        out.arcs[w] = (p, one.get(w, 0))
-    for u, state in one.items():
-        _fill(out, state, 0, after[u], int(core[u]), lambda w, u=u: two.get(u * size + w, one.get(w, 0)))
-    for p, state in two.items():
-        v = p % size
-        _fill(out, state, one.get(v, 0), then[p], pairs[p], lambda w, v=v: two.get(v * size + w, one.get(w, 0)))
+    root = np.log10((core + 1.0) / (total + distinct + 1)) if len(core) else np.zeros(1)
+    first, second = pairs // size, pairs % size
+    p2 = (pair_n - DISCOUNT) / core[first] if len(pairs) else np.empty(0)
+    one_fail = _failure(first, size, p2, 10 ** root[second])
+    out = BackoffAutomaton(size, root, pairs, np.log10(p2), one_fail, triples, np.empty(0), np.empty(0))
+    if len(pairs):
+        held, third = triples // size, triples % size
+        p3 = (triple_n - DISCOUNT) / pair_n[held]
+        middle = second[held]
+        arc = out._find(pairs, middle * size + third)
+        below = 10 ** np.where(arc >= 0, out.pair_log[arc], one_fail[middle] + root[third])
+        out.two_fail = _failure(held, len(pairs), p3, below)
+        out.triple_log = np.log10(p3)
     return out
 
 
-def _fill(out: BackoffAutomaton, state: int, shorter: int, kept: list[tuple[int, int]], seen: int, goes) -> None:
-    """Discounted arcs of one state, and the failure weight that makes its probabilities add up to one."""
-    mass = lower = 0.0
-    for w, n in kept:
-        p = (n - DISCOUNT) / seen
-        mass += p
-        lower += 10 ** out.step(shorter, w)[0]
-        out.arcs[state * out.size + w] = (math.log10(p), goes(w))
-    out.back[state] = (math.log10(max(1 - mass, 1e-9) / max(1 - lower, 1e-9)), shorter)
-
-
 def score(docs: DataFrame, training: DataFrame, core: float = 1e-6, kept: float = 1e-5) -> DataFrame:
     """All columns of ``docs`` but its text, with n_tokens, n_known, train_tokens, base_score and score.
 
     ``training`` holds the texts to learn from. Log-probabilities are decimal.
     """
     spark = docs.sparkSession
-    counts = materialize(_counted(training, _word_keys), "unigrams")
+    counts = materialize(_counted(training, _each), "unigrams")
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = whole["n"], whole["v"]
     least = max(2, math.ceil(core * total))
@@ -231,10 +207,11 @@ def score(docs: DataFrame, training: DataFrame, core: float = 1e-6, kept: float
     size = max(1, len(hashes))
     shared = spark.sparkContext.broadcast(hashes)
     most = max(2, math.ceil(kept * total))
-    pairs = _counted(training, _run_keys(shared, size, 2, None)).where(F.col("n") >= most).toPandas().sort_values("key")  # at most 1 / kept
-    pair_keys = pairs["key"].to_numpy(np.int64)
-    triples = _counted(training, _run_keys(shared, size, 3, spark.sparkContext.broadcast(pair_keys))).where(F.col("n") >= most).toPandas()
-    model = build_automaton(core_n, total, distinct, dict(zip(pair_keys.tolist(), pairs["n"].tolist())), dict(zip(triples["key"].tolist(), triples["n"].tolist())), pair_keys)
+    runs_of = lambda n, allowed: _counted(training, _run_keys(shared, size, n, allowed)).where(F.col("n") >= most).toPandas().sort_values("key")  # noqa: E731  at most 1 / kept
+    pairs = runs_of(2, None)
+    keys2, n2 = pairs["key"].to_numpy(np.int64), pairs["n"].to_numpy(np.int64)
+    triples = runs_of(3, spark.sparkContext.broadcast(keys2))
+    model = build_automaton(core_n, total, distinct, keys2, n2, triples["key"].to_numpy(np.int64), triples["n"].to_numpy(np.int64))
     automaton = spark.sparkContext.broadcast((model, core_n))
     unit = math.log10(total + distinct + 1)
 
@@ -243,18 +220,17 @@ def score(docs: DataFrame, training: DataFrame, core: float = 1e-6, kept: float
     made = "n_tokens long, __in_core long, __base double, __score double, __rare array<long>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (fsm, n_of), ids_of = automaton.value, CoreIds(shared.value)
+        (fsm, n_of), core = automaton.value, shared.value
         log_n = np.log10(n_of + 1.0)
         for pdf in batches:
             rows = []
-            for text in pdf.pop("text"):
-                words = [*ascii_words(text), FINISH]
-                ids = np.fromiter(map(ids_of.__getitem__, words), np.int64, len(words))
+            for known in token_keys(list(pdf.pop("text"))):
+                ids = core_ids(known, core)
                 inside = ids >= 0
-                rare = [words[i] for i in np.flatnonzero(~inside)]
-                path = fsm.traverse(ids.tolist())
-                base = float(log_n[ids[inside]].sum()) - unit * len(words)
-                rows.append((len(words), int(inside.sum()), base, path - unit * len(rare), np.fromiter(map(_hash.__getitem__, rare), np.uint64, len(rare)).view(np.int64)))
+                rare = known[~inside]
+                path = fsm.traverse(ids)
+                base = float(log_n[ids[inside]].sum()) - unit * len(known)
+                rows.append((len(known), int(inside.sum()), base, path - unit * len(rare), rare))
             if not rows:
                 continue
             pdf[["n_tokens", "__in_core", "__base", "__score", "__rare"]] = pd.DataFrame(rows, columns=["n_tokens", "__in_core", "__base", "__score", "__rare"], index=pdf.index)

@@ -32,7 +32,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.llm.common import ascii_words, bounds, chain_hashes, materialize, runs, word_hashes
+from paperloom.llm.common import batched_words, bounds, chain_hashes, materialize, runs
 from paperloom.llm.graph import components
 
 HOT_SHARE = 0.002  # documents that must hold an n-gram for it to count as frequent
@@ -42,13 +42,13 @@ ROUNDS = 2
 BLOOM_BITS = 1 << 26
 
 
-def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams; fewer words are one n-gram."""
-    found = ascii_words(text)
-    if not found:
-        return np.empty(0, np.uint64)
-    h = word_hashes(found)
-    return np.unique(chain_hashes(h, min(words, len(h))))
+def shingles(h: np.ndarray, words: int) -> np.ndarray:
+    """Sorted distinct hashes of the n-grams of a text's word hashes; fewer words are one n-gram."""
+    return np.unique(chain_hashes(h, min(words, len(h)))) if len(h) else np.empty(0, np.uint64)
+
+
+def shingle_sets(texts: pd.Series, words: int) -> list[np.ndarray]:
+    return [shingles(h, words) for h in batched_words(list(texts))]
 
 
 def set_name(items: np.ndarray) -> int:
@@ -105,7 +105,7 @@ def measure(docs: DataFrame, words: int) -> DataFrame:
             return pd.DataFrame({"kind": 1, "doc_id": pd.array([None] * int(often.sum()), "Int64"), "n": n[often], "set": k[often].view(np.int64), "bits": None})
 
         for pdf in batches:
-            sets = [shingles(t, words) for t in pdf.text]
+            sets = shingle_sets(pdf.text, words)
             yield pd.DataFrame({"kind": 0, "doc_id": pdf.doc_id.astype("Int64"), "n": [len(s) for s in sets], "set": [set_name(s) for s in sets], "bits": [bitmap(s).tobytes() if len(s) else None for s in sets]})
             parts += sets
             held += sum(map(len, sets))
@@ -127,8 +127,7 @@ def keys(docs: DataFrame, hot: np.ndarray, words: int, percent: int) -> DataFram
         often = shared.value
         for pdf in batches:
             out = []
-            for text in pdf.text:
-                s = shingles(text, words)
+            for s in shingle_sets(pdf.text, words):
                 if not len(s):
                     continue
                 name, p = set_name(s), prefix_length(len(s), percent)
@@ -223,7 +222,7 @@ class Join:
                 spot = pdf.spot.to_numpy(np.int64)
                 hit = shared.value[spot >> 6] >> (spot & 63) & 1 == 1
                 part = pdf[hit]
-                yield pd.DataFrame({"node": part.node, "items": pd.Series([shingles(t, shingle_words).view(np.int64) for t in part.text], part.index, object)})
+                yield pd.DataFrame({"node": part.node, "items": pd.Series([s.view(np.int64) for s in shingle_sets(part.text, shingle_words)], part.index, object)})
 
         docs = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text").withColumn("spot", spot)
         found = docs.mapInPandas(run, "node long, items array<long>")
