@@ -1,12 +1,14 @@
 """Toxicity by class-conditional Kneser-Ney models of characters in words.
 
 Two models, of toxic and of ordinary labelled texts, give each word (an expression) a
-log-likelihood. Orders 5 to 3 are counted per class; orders 2 and 1 are shared continuation
+log-likelihood. Orders 6 to 3 are counted per class; orders 2 and 1 are shared continuation
 counts of both, so that a rare expression is judged by the frames it shares with
-known ones. What is compared is always length-normalised: the difference of the two
-log-likelihoods per character, over the whole text, over its worst stretch of
-eight words, and for its two worst distinct words. A logistic curve over these four maps them
-to 0..1; it is fitted on labelled texts that the counts have not seen.
+known ones. Counts of one and two are discounted whole, which keeps what a class has seen by
+chance from speaking. What is compared is length-normalised: the difference of the two
+log-likelihoods per character over the whole text and over its worst stretch of
+eight words, and what words of strong evidence have beyond the threshold, per hundred words;
+beside them stand the strongest evidence and the number of distinct strong words. A
+logistic curve over these maps them to 0..1; it is fitted on labelled texts that the counts have not seen.
 
 Labels come from a bounded sample: the ``per_class`` documents of each class with
 the smallest hashes. Rows whose label or id is null are not learnt from; a document with
@@ -28,7 +30,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.llm.common import _LOWER, materialize
 
-ORDER, SHARED, DISCOUNT, WINDOW = 5, 2, 0.75, 8
+ORDER, SHARED, DISCOUNT, WINDOW, STRONG = 6, 2, 2.0, 8, 2.0
+FEATURES = ("whole", "stretch", "share", "strongest", "kinds")
 START, STOP = "\x02", "\x03"
 TRIM = b".,;:!?\"'()[]"
 
@@ -39,74 +42,83 @@ def grams(word: str) -> list[str]:
     return [padded[i : i + ORDER] for i in range(len(word) + 1)]
 
 
-class KneserNey:
-    """One class's model; ``shared`` are the gram counts of both classes."""
+Level = tuple[dict, dict, dict]
 
-    def __init__(self, own: Counter, shared: Counter) -> None:
-        self.levels: list[tuple[dict, dict, dict]] = []
-        alphabet = {g[-1] for g in shared}
-        self.floor = 1 / (len(alphabet) + 1)
-        counts = dict(own)
-        pool = dict(shared)
-        for n in range(ORDER, 0, -1):
-            if n <= SHARED:
-                counts = pool
-            total, kinds = defaultdict(float), defaultdict(int)
+
+def _levels(counts: dict, high: int, low: int) -> list[Level]:
+    """Counts, context totals and discounted masses of the orders from ``high`` down to ``low``; below the first, continuation counts."""
+    out = []
+    for n in range(high, 0, -1):
+        if n <= high and n >= low:
+            total, cut = defaultdict(float), defaultdict(float)
             for g, c in counts.items():
                 total[g[:-1]] += c
-                kinds[g[:-1]] += 1
-            self.levels.append((counts, dict(total), dict(kinds)))
-            counts = Counter(g[1:] for g in counts)  # continuation counts: distinct left neighbours
-            pool = Counter(g[1:] for g in pool)
+                cut[g[:-1]] += min(c, DISCOUNT)
+            out.append(({g: c for g, c in counts.items() if c > DISCOUNT}, dict(total), dict(cut)))
+        counts = Counter(g[1:] for g in counts)  # distinct left neighbours
+    return out
+
+
+class KneserNeyPair:
+    """Both classes' models over the same shared lower orders."""
+
+    def __init__(self, toxic: Counter, ordinary: Counter) -> None:
+        both = toxic + ordinary
+        self.floor = 1 / (len({g[-1] for g in both}) + 1)
+        self.shared = _levels(both, ORDER, 1)[ORDER - SHARED :]
+        self.classes = [_levels(c, ORDER, SHARED + 1) for c in (toxic, ordinary)]
         self.memo: dict[str, float] = {}
 
-    def chance(self, gram: str) -> float:
-        """P(last character | those before)."""
-        if gram in self.memo:
-            return self.memo[gram]
-        p = self.floor
-        for n in range(1, ORDER + 1):
-            counts, total, kinds = self.levels[ORDER - n]
-            g = gram[ORDER - n :]
+    @staticmethod
+    def _lift(p: float, gram: str, levels: list[Level]) -> float:
+        """Mixes the levels' discounted counts into a lower-order probability, lowest order first."""
+        for counts, total, cut in reversed(levels):
+            g = gram[ORDER - 1 - len(next(iter(total), gram[1:])) :]
             if t := total.get(g[:-1]):
-                p = max(counts.get(g, 0) - DISCOUNT, 0) / t + DISCOUNT * kinds[g[:-1]] / t * p
-        if len(self.memo) > 300_000:
-            self.memo.clear()
-        self.memo[gram] = p
+                p = max(counts.get(g, 0) - DISCOUNT, 0) / t + cut[g[:-1]] / t * p
         return p
 
+    def chances(self, gram: str) -> tuple[float, float]:
+        """P(last character | those before) in a toxic and in an ordinary text."""
+        low = self._lift(self.floor, gram, self.shared)
+        return self._lift(low, gram, self.classes[0]), self._lift(low, gram, self.classes[1])
+
+    def evidence(self, gram: str) -> float:
+        if (found := self.memo.get(gram)) is None:
+            if len(self.memo) > 150_000:
+                self.memo.clear()
+            toxic, ordinary = self.chances(gram)
+            found = self.memo[gram] = math.log(toxic / ordinary)
+        return found
+
 
 @dataclass
 class ToxicityModel:
-    toxic: KneserNey | None = None
-    ordinary: KneserNey | None = None
-    weights: list[float] = field(default_factory=lambda: [0.0, 0.0, 0.0, 0.0])
+    pair: KneserNeyPair | None = None
+    weights: list[float] = field(default_factory=lambda: [0.0] * len(FEATURES))
     bias: float = -50.0
     memo: dict[bytes, tuple[float, int]] = field(default_factory=dict)
 
     def evidence(self, word: bytes) -> tuple[float, int]:
         """Difference of the two log-likelihoods of a word, and its length with the end."""
         if (found := self.memo.get(word)) is None:
-            if len(self.memo) > 200_000:
+            if len(self.memo) > 100_000:
                 self.memo.clear()
             text = word.strip(TRIM).decode()
-            diff = sum(math.log(self.toxic.chance(g) / self.ordinary.chance(g)) for g in grams(text)) if text else 0.0
-            found = self.memo[word] = (diff, len(text) + 1)
+            found = self.memo[word] = (sum(map(self.pair.evidence, grams(text))) if text else 0.0, len(text) + 1)
         return found
 
-    def features(self, text: str | None) -> tuple[float, float, float, float]:
+    def features(self, text: str | None) -> tuple[float, ...]:
         words = text.encode().translate(_LOWER).split() if text else []
-        if not words or self.toxic is None:
-            return 0.0, 0.0, 0.0, 0.0
+        if not words or self.pair is None:
+            return (0.0,) * len(FEATURES)
         found = np.array(list(map(self.evidence, words)))
         sums = np.concatenate([np.zeros((1, 2)), found.cumsum(axis=0)])
         w = min(WINDOW, len(words))
         stretch = sums[w:] - sums[:-w]
-        each = found[:, 0] / found[:, 1]
-        first = int(each.argmax())
-        others = each[[x != words[first] for x in words]] if len(words) < 50_000 else each[each < each[first]]
-        second = float(others.max()) if len(others) else 0.0
-        return float(sums[-1, 0] / sums[-1, 1]), float((stretch[:, 0] / stretch[:, 1]).max()), float(each[first]), second
+        strong = (found[:, 0] - STRONG).clip(0)
+        kinds = len(np.unique(found[strong > 0, 0]))
+        return float(sums[-1, 0] / sums[-1, 1]), float((stretch[:, 0] / stretch[:, 1]).max()), 100 * float(strong.sum()) / len(words), float(min(found[:, 0].max(), 8.0)), math.log1p(kinds)
 
     def score(self, text: str | None) -> float:
         z = self.bias + sum(a * b for a, b in zip(self.weights, self.features(text)))
@@ -159,26 +171,26 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int =
     counted = sample.where("not held").select("toxic", "text").mapInPandas(count, "toxic int, gram string, n long")
     rows = counted.groupBy("gram").agg(*[F.coalesce(F.sum(F.when(F.col("toxic") == y, F.col("n"))), F.lit(0)).alias(f"n{y}") for y in (0, 1)]).toPandas()  # the sample's grams
     own = [Counter({g: int(n) for g, n in zip(rows.gram, rows[f"n{y}"]) if n}) for y in (0, 1)]
-    both = own[0] + own[1]
     if not own[0] or not own[1]:
         return ToxicityModel()
-    model = ToxicityModel(KneserNey(own[1], both), KneserNey(own[0], both))
+    model = ToxicityModel(KneserNeyPair(own[1], own[0]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = pd.DataFrame([shared.value.features(t) for t in pdf.text], columns=["a", "b", "c", "d"])
+            out = pd.DataFrame([shared.value.features(t) for t in pdf.text], columns=FEATURES)
             out["toxic"] = pdf.toxic.to_numpy()
             yield out
 
-    x = sample.where("held").select("toxic", "text").mapInPandas(measure, "a double, b double, c double, d double, toxic int").toPandas()
+    x = sample.where("held").select("toxic", "text").mapInPandas(measure, ", ".join(f"{f} double" for f in FEATURES) + ", toxic int").toPandas()
     if x.toxic.nunique() < 2:
         return ToxicityModel()
-    x = x.sort_values(["a", "b", "c", "d", "toxic"])
+    x = x.sort_values([*FEATURES, "toxic"])
     y = x.toxic.to_numpy()
     weight = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum())
-    model.calibrate(x[["a", "b", "c", "d"]].to_numpy(), y, weight / weight.mean())
+    model.calibrate(x[list(FEATURES)].to_numpy(), y, weight / weight.mean())
     model.memo.clear()
+    model.pair.memo.clear()
     return model
 
 
