@@ -57,9 +57,8 @@ def words(c: Column) -> Column:
     return F.filter(F.split(norm(c), " "), lambda w: w != "")
 
 
-def shingle_hashes(c: Column, k: int) -> Column:
-    """Distinct hashes of k-word runs; shorter texts are one run, empty ones none."""
-    w = words(c)
+def shingle_hashes(w: Column, k: int) -> Column:
+    """Distinct hashes of k-word runs of an array column of words; fewer words are one run, none give none."""
     n = F.size(w)
     runs = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.xxhash64(F.array_join(F.slice(w, i, k), " ")))
     return F.when(n == 0, F.array().cast("array<bigint>")).when(n < k, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array_distinct(runs))
@@ -70,9 +69,10 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def ordered_distinct(items: Column, key=F.lower) -> Column:
-    """First occurrences by key, order kept."""
-    keys = F.transform(items, key)
-    return F.filter(items, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+    """First occurrences by key, order kept; the items are evaluated once."""
+    start = F.struct(F.array().cast("array<string>").alias("keys"), F.array().cast("array<string>").alias("out"))
+    add = lambda acc, x: F.struct(F.array_append(acc["keys"], key(x)).alias("keys"), F.array_append(acc["out"], x).alias("out"))
+    return F.aggregate(items, start, lambda acc, x: F.when(F.array_contains(acc["keys"], key(x)), acc).otherwise(add(acc, x)))["out"]
 
 
 def mostly_latin1_repair(c: Column) -> Column:
