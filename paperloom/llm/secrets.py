@@ -207,7 +207,7 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
         while i < len(spans) and spans[i][0] < e:
             e = max(e, spans[i][2])
             i += 1
-        out += [text[at:s], f"[SECRET:{KINDS[k]}]"]
+        out += [text[at:s], f"[CREDENTIAL:{KINDS[k]}]"]
         at = e
     return "".join([*out, text[at:]])
 
