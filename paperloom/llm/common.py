@@ -12,6 +12,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches bounded by bytes: a batch of very long texts stays small, and one of narrow rows is worth its overhead."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 

@@ -11,14 +11,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.llm import chat, decontam, embed_dedup, lmscore, ngram_join, packing, secrets, toxicity, url_filter, warc
-from paperloom.llm.common import crc_mod
-
-#: Rows of an Arrow batch, so that a batch of very long texts stays small.
-BATCH_ROWS = "1000"
+from paperloom.llm.common import crc_mod, small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
