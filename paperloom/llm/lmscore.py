@@ -102,10 +102,13 @@ def core_ids(keys: np.ndarray, core: np.ndarray) -> np.ndarray:
 
 
 def _run_keys(shared, size: int, n: int, allowed):
-    """Keys of the runs of n core words; runs that do not start and end with an allowed shorter run are left out."""
+    """Keys of the runs of n core words. A run is as frequent as its parts at most, so those with a part that is not allowed are left out.
+
+    ``allowed``: for pairs a flag per core word, for triples the sorted keys of the kept pairs.
+    """
 
     def make():
-        core, short = shared.value, allowed.value if allowed else None
+        core, short = shared.value, allowed.value
 
         def keys(tokens: np.ndarray) -> np.ndarray:
             ids = core_ids(tokens, core)
@@ -114,7 +117,7 @@ def _run_keys(shared, size: int, n: int, allowed):
             pair = ids[:-1] * size + ids[1:]
             known = (ids[:-1] >= 0) & (ids[1:] >= 0)
             if n == 2:
-                return pair[known]
+                return pair[known & short[ids[:-1]] & short[ids[1:]]]
             at = np.searchsorted(short, pair)
             hit = known & (short[np.minimum(at, len(short) - 1)] == pair) if len(short) else known & False
             both = hit[:-1] & hit[1:]
@@ -208,7 +211,7 @@ def score(docs: DataFrame, training: DataFrame, core: float = 1e-6, kept: float
     shared = spark.sparkContext.broadcast(hashes)
     most = max(2, math.ceil(kept * total))
     runs_of = lambda n, allowed: _counted(training, _run_keys(shared, size, n, allowed)).where(F.col("n") >= most).toPandas().sort_values("key")  # noqa: E731  at most 1 / kept
-    pairs = runs_of(2, None)
+    pairs = runs_of(2, spark.sparkContext.broadcast(np.append(core_n >= most, False)))
     keys2, n2 = pairs["key"].to_numpy(np.int64), pairs["n"].to_numpy(np.int64)
     triples = runs_of(3, spark.sparkContext.broadcast(keys2))
     model = build_automaton(core_n, total, distinct, keys2, n2, triples["key"].to_numpy(np.int64), triples["n"].to_numpy(np.int64))
