@@ -1,7 +1,7 @@
 """Toxicity by class-conditional Kneser-Ney models of characters in words.
 
 Two models, of toxic and of ordinary labelled texts, give each word (an expression) a
-log-likelihood. Orders 6 to 3 are counted per class; orders 2 and 1 are shared continuation
+log-likelihood. Orders 5 to 3 are counted per class; orders 2 and 1 are shared continuation
 counts of both, so that a rare expression is judged by the frames it shares with
 known ones. Counts of one and two are discounted whole, which keeps what a class has seen by
 chance from speaking. What is compared is length-normalised: the difference of the two
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.llm.common import _LOWER, materialize
 
-ORDER, SHARED, DISCOUNT, WINDOW, STRONG = 6, 2, 2.0, 8, 2.0
+ORDER, SHARED, DISCOUNT, WINDOW, STRONG = 5, 2, 2.0, 8, 2.0
 FEATURES = ("whole", "stretch", "share", "strongest", "kinds")
 START, STOP = "\x02", "\x03"
 TRIM = b".,;:!?\"'()[]"
@@ -42,21 +42,21 @@ def grams(word: str) -> list[str]:
     return [padded[i : i + ORDER] for i in range(len(word) + 1)]
 
 
-Level = tuple[dict, dict, dict]
+Level = tuple[dict, dict]
 
 
 def _levels(counts: dict, high: int, low: int) -> list[Level]:
-    """Counts, context totals and discounted masses of the orders from ``high`` down to ``low``; below the first, continuation counts."""
+    """Lowest order first: what a gram's discounted count gives, and what its context leaves to the lower order. Below ``high``, continuation counts."""
     out = []
     for n in range(high, 0, -1):
-        if n <= high and n >= low:
+        if n >= low:
             total, cut = defaultdict(float), defaultdict(float)
             for g, c in counts.items():
                 total[g[:-1]] += c
                 cut[g[:-1]] += min(c, DISCOUNT)
-            out.append(({g: c for g, c in counts.items() if c > DISCOUNT}, dict(total), dict(cut)))
+            out.append(({g: (c - DISCOUNT) / total[g[:-1]] for g, c in counts.items() if c > DISCOUNT}, {h: cut[h] / t for h, t in total.items()}))
         counts = Counter(g[1:] for g in counts)  # distinct left neighbours
-    return out
+    return out[::-1]
 
 
 class KneserNeyPair:
@@ -65,23 +65,25 @@ class KneserNeyPair:
     def __init__(self, toxic: Counter, ordinary: Counter) -> None:
         both = toxic + ordinary
         self.floor = 1 / (len({g[-1] for g in both}) + 1)
-        self.shared = _levels(both, ORDER, 1)[ORDER - SHARED :]
+        self.shared = _levels(both, ORDER, 1)[:SHARED]
         self.classes = [_levels(c, ORDER, SHARED + 1) for c in (toxic, ordinary)]
         self.memo: dict[str, float] = {}
 
     @staticmethod
-    def _lift(p: float, gram: str, levels: list[Level]) -> float:
-        """Mixes the levels' discounted counts into a lower-order probability, lowest order first."""
-        for counts, total, cut in reversed(levels):
-            g = gram[ORDER - 1 - len(next(iter(total), gram[1:])) :]
-            if t := total.get(g[:-1]):
-                p = max(counts.get(g, 0) - DISCOUNT, 0) / t + cut[g[:-1]] / t * p
+    def _lift(p: float, gram: str, order: int, levels: list[Level]) -> float:
+        """Mixes the levels' discounted counts into a lower-order probability, up to the longest context that was seen."""
+        at = ORDER - order
+        for own, left in levels:
+            if (rest := left.get(gram[at:-1])) is None:
+                break
+            p = own.get(gram[at:], 0.0) + rest * p
+            at -= 1
         return p
 
     def chances(self, gram: str) -> tuple[float, float]:
         """P(last character | those before) in a toxic and in an ordinary text."""
-        low = self._lift(self.floor, gram, self.shared)
-        return self._lift(low, gram, self.classes[0]), self._lift(low, gram, self.classes[1])
+        low = self._lift(self.floor, gram, 1, self.shared)
+        return self._lift(low, gram, SHARED + 1, self.classes[0]), self._lift(low, gram, SHARED + 1, self.classes[1])
 
     def evidence(self, gram: str) -> float:
         if (found := self.memo.get(gram)) is None:
