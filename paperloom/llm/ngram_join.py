@@ -283,8 +283,12 @@ class Join:
             names = ["key", "tb", "ti", "tj", "far"]
             for pdf in runs(batches, names):
                 at = bounds(*(pdf[c].to_numpy() for c in names))
-                found = [cross(pdf.iloc[s:e], percent) for s, e in zip(at, at[1:])]
-                yield pd.concat(found).drop_duplicates()
+                n, name, part, bits = (pdf[c].to_numpy() for c in ("n", "set", "component", "bits"))
+                found = [x for s, e in zip(at, at[1:]) if e - s > 1 for x in cross(n[s:e], name[s:e], part[s:e], bits[s:e], percent)]
+                if found:
+                    p, pn, q, qn = (np.concatenate(c) for c in zip(*found))
+                    low = p < q
+                    yield pd.DataFrame({"a": np.where(low, p, q), "m": np.where(low, pn, qn), "b": np.where(low, q, p), "n": np.where(low, qn, pn)}).drop_duplicates()
 
         tiles = with_bits.repartition("key", "tb", "ti", "tj", "far").sortWithinPartitions("key", "tb", "ti", "tj", "far", "n", "set")
         return tiles.mapInPandas(run, "a long, m long, b long, n long").distinct()
@@ -310,28 +314,24 @@ class Join:
         return out.select(self.all["doc_id"], self.all["n"].alias("n_shingles"), F.when(self.all["n"] > 0, F.col("__c")).otherwise(self.all["doc_id"]).alias("component_id"))
 
 
-def cross(tile: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of one tile (rows sorted by size) whose components differ and whose bitmaps allow a link."""
-    n, name, part = (tile[c].to_numpy() for c in ("n", "set", "component"))
-    width = min(len(b) for b in tile.bits)
-    bits = np.vstack([fold(np.frombuffer(b, np.uint8)[None], width) for b in tile.bits])
-    pad = -bits.shape[1] % 8
-    wide = np.pad(bits, ((0, 0), (0, pad))).view(np.uint64)
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def cross(n: np.ndarray, name: np.ndarray, part: np.ndarray, bitmaps: np.ndarray, percent: int) -> Iterator[Found]:
+    """Pairs (set, size, set, size) of one tile, sorted by size, whose components differ and whose bitmaps allow a link."""
+    if (part == part[0]).all():
+        return
+    width = min(map(len, bitmaps))
+    bits = np.vstack([fold(np.frombuffer(b, np.uint8)[None], width) for b in bitmaps]).view(np.uint64)  # widths are multiples of 8
     end = np.searchsorted(n, n * 100 // percent, side="right")
-    out = []
     for i in range(len(n) - 1):
         j = slice(i + 1, end[i])
         if j.stop <= j.start:
             continue
-        ok = (part[j] != part[i]) & may_link(differing(wide[j], wide[i]), n[j], n[i], percent)
+        ok = (part[j] != part[i]) & may_link(differing(bits[j], bits[i]), n[j], n[i], percent)
         k = i + 1 + np.flatnonzero(ok)
         if len(k):
-            out.append(pd.DataFrame({"p": name[i], "pn": n[i], "q": name[k], "qn": n[k]}))
-    if not out:
-        return pd.DataFrame({c: np.empty(0, np.int64) for c in ("a", "m", "b", "n")})
-    x = pd.concat(out)
-    low = x.p < x.q
-    return pd.DataFrame({"a": np.where(low, x.p, x.q), "m": np.where(low, x.pn, x.qn), "b": np.where(low, x.q, x.p), "n": np.where(low, x.qn, x.pn)})
+            yield np.full(len(k), name[i]), np.full(len(k), n[i]), name[k], n[k]
 
 
 def link_documents(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
