@@ -1,19 +1,23 @@
 """Language-model scores by a weighted backoff automaton.
 
-Unigram counts of all training texts are a distributed table; every text's rare words
-are joined with it. Words that make up at least ``core`` of all training tokens, and
-pairs and triples of them that make up at least ``kept``, become the automaton: at most
-1 / core and 1 / kept of each by construction, whatever the corpus, which bounds
-what is broadcast. Its states are the histories that have kept continuations; an arc
-carries a discounted log-probability, and a failure arc the weight with which a
-state backs off to its shorter history. One traversal from left to right carries the state
-and adds up the log-probabilities; as a state is what its last two words say, a text's
-states are found for all its words at once. A word without an arc at the root costs
-log10((c + 1) / (N + V + 1)), with c from the join. All probabilities of a state
-add up to one.
-
-Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased, and known by 64-bit hashes; each
-text ends in one end token. Null texts are empty: one end token. Repeated rows are scored
+The model grows with the corpus: every word of the training texts, and every pair and triple of
+words that occurs at least ``least`` times there, has an arc. The automaton's states are the
+histories that have arcs; an arc carries a discounted log-probability, and a failure arc
+the weight with which a state backs off to its shorter history. Counts, arcs and failure weights are
+distributed tables.
+
+A path's weight is a sum over the n-grams of the text: as a triple's pairs and a pair's words
+have arcs too, an n-gram adds its arc's weight, less what its text costs without that arc, plus
+its failure weight where it is a history. So a text needs one number for each of its n-grams, and fetches
+them by a join. Only n-grams that make up at least ``core`` (words) or ``kept`` (pairs and triples) of
+all training tokens, at most 1 / core and 1 / kept of each, form a broadcast automaton that is
+traversed from left to right instead. The two shares decide where a weight is looked up, not
+what is in the model. Bit filters of fixed size spare the join most n-grams that have no arc; the join is exact
+whatever they let through. A word without an arc at the root costs log10(1 / (N + V + 1)).
+All probabilities of a state add up to one.
+
+Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; words, pairs, triples and texts are known by
+64-bit hashes. Each text ends in one end token. Null texts are empty: one end token. Repeated rows are scored
 each for itself; an empty training set makes every word unknown.
 """
 
@@ -22,37 +26,55 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from paperloom.llm.common import batched_words, materialize
+from paperloom.llm.common import batched_words, materialize, scratch_path
 
 FINISH = np.array([0x5EED0F7EE7D06], np.int64)  # the end token's key
 DISCOUNT = 0.5
-FLUSH = 1_500_000
+FLUSH = 500_000
+TURN = {2: 21, 3: 32}  # by how much the first part's key is turned in an n-gram's key
+FILTER_BITS = 27  # a filter has 2 ** FILTER_BITS bits
+SLICES = 2  # by the keys' signs, which halves what the join of the texts' n-grams keeps on disk at a time
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def turned(keys: np.ndarray, n: int) -> np.ndarray:
+    x, r = keys.view(np.uint64), np.uint64(TURN[n])
+    return ((x << r) | (x >> (np.uint64(64) - r))).view(np.int64)
+
+
+def joined_key(a: Column, b: Column, n: int) -> Column:
+    """The key of the n-gram whose first and last n - 1 words have the keys a and b: ``turned(a, n) ^ b``."""
+    return F.shiftleft(a, TURN[n]).bitwiseOR(F.shiftrightunsigned(a, 64 - TURN[n])).bitwiseXOR(b)
 
 
 class Tally:
-    """Counts of 64-bit keys, merged as they come and handed on when there are many."""
+    """Counts of n-grams by 64-bit key, merged as they come and handed on when there are many. ``heads``: each key's first part."""
 
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+    def __init__(self, n: int) -> None:
+        self.n = n
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.held = 0
 
-    def add(self, keys: np.ndarray) -> None:
+    def add(self, keys: np.ndarray, heads: np.ndarray) -> None:
         if len(keys):
-            k, n = np.unique(keys, return_counts=True)
-            self.parts.append((k, n))
+            k, at, n = np.unique(keys, return_index=True, return_counts=True)
+            self.parts.append((k, heads[at], n))
             self.held += len(k)
 
     def merge(self) -> None:
         if len(self.parts) > 1:
-            k, at = np.unique(np.concatenate([p[0] for p in self.parts]), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([p[1] for p in self.parts])).astype(np.int64)
-            self.parts = [(k, n)]
+            k, first, at = np.unique(np.concatenate([p[0] for p in self.parts]), return_index=True, return_inverse=True)
+            heads = np.concatenate([p[1] for p in self.parts])[first]
+            n = np.bincount(at, weights=np.concatenate([p[2] for p in self.parts])).astype(np.int64)
+            self.parts = [(k, heads, n)]
             self.held = len(k)
 
     def full(self) -> bool:
@@ -62,9 +84,14 @@ class Tally:
 
     def take(self) -> Iterator[pd.DataFrame]:
         self.merge()
-        for k, n in self.parts:
+        for k, heads, n in self.parts:
+            order = np.argsort(heads, kind="stable")  # equal heads compress well
             for i in range(0, len(k), 200_000):
-                yield pd.DataFrame({"key": k[i : i + 200_000], "n": n[i : i + 200_000]})
+                at = order[i : i + 200_000]
+                if self.n == 1:
+                    yield pd.DataFrame({"key": k[at], "n": n[at]})
+                else:
+                    yield pd.DataFrame({"a": heads[at], "b": k[at] ^ turned(heads[at], self.n), "n": n[at]})
         self.parts, self.held = [], 0
 
 
@@ -73,24 +100,78 @@ def token_keys(texts: list[str | None]) -> list[np.ndarray]:
     return [np.concatenate([h.view(np.int64), FINISH]) for h in batched_words(texts)]
 
 
-def _counted(texts: DataFrame, keys_of) -> DataFrame:
-    """Counts of the int64 keys that ``keys_of()`` makes of a text's token keys, summed over the table."""
+def token_run(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token keys of all texts in a row, a flag at each text's first, and the places of these."""
+    each = token_keys(texts)
+    places = np.cumsum([0, *map(len, each)])[:-1]
+    tokens = np.concatenate(each)
+    start = np.zeros(len(tokens), bool)
+    start[places] = True
+    return tokens, start, places
+
+
+def ending(keys: np.ndarray, n: int) -> np.ndarray:
+    """Keys of the n-grams that end at each place, from those of their last n - 1 words; the first place has none."""
+    out = keys.copy()
+    out[1:] ^= turned(keys[:-1], n)
+    return out
+
+
+class Filter:
+    """A bit per key's first FILTER_BITS bits: keys it does not hold have no arc."""
+
+    BLOCK = 1 << 15  # 64-bit words that the driver gets at a time
+
+    def __init__(self, table: DataFrame) -> None:
+        spot = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
+        words = table.groupBy(F.shiftrightunsigned(spot, 6).cast("int").alias("w")).agg(F.bit_or(bit).alias("v"))
+        size = self.BLOCK
+
+        def packed(pdf: pd.DataFrame) -> pd.DataFrame:
+            bits = np.zeros(size, np.int64)
+            bits[pdf["w"].to_numpy() % size] = pdf["v"].to_numpy()
+            return pd.DataFrame({"block": [int(pdf["w"].iloc[0]) // size], "bits": [bits.tobytes()]})
+
+        self.bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+        for r in words.groupBy((F.col("w") / size).cast("int").alias("block")).applyInPandas(packed, "block int, bits binary").toLocalIterator():  # at most 2 ** FILTER_BITS / 64 / BLOCK rows
+            self.bits[r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(r["bits"], np.int64)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        spot = (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).view(np.int64)
+        return self.bits[spot >> 6] >> (spot & 63) & 1 == 1
+
+
+def _counted(texts: DataFrame, n: int, pairs: Broadcast | None = None) -> DataFrame:
+    """Counts of the n-grams of all texts: key and n of words; a, b (keys of the first and last n - 1 words) and n of others.
+
+    ``pairs``: the filter of the pairs that are kept; a triple is as frequent as its pairs at most, so others are left out.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, tally = keys_of(), Tally()
+        tally = Tally(n)
         for pdf in batches:
-            found = [keys(k) for k in token_keys(list(pdf.text))]
-            if found:
-                tally.add(np.concatenate(found))
+            if not len(pdf):
+                continue
+            tokens, start, _ = token_run(list(pdf.text))
+            if n == 1:
+                tally.add(tokens, tokens)
+            else:
+                keys, at = ending(tokens, 2), ~start
+                heads = tokens
+                if n == 3:
+                    at &= pairs.value.has(keys)
+                    at[1:] &= at[:-1].copy()
+                    at[:1] = False
+                    heads, keys = keys, ending(keys, 3)
+                at = np.flatnonzero(at)
+                tally.add(keys[at], heads[at - 1])
             if tally.full():
                 yield from tally.take()
         yield from tally.take()
 
-    return texts.select("text").mapInPandas(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _each():
-    return lambda keys: keys
+    by = ["key"] if n == 1 else ["a", "b"]
+    return texts.select("text").mapInPandas(run, ", ".join(f"{c} long" for c in [*by, "n"])).groupBy(*by).agg(F.sum("n").alias("n"))
 
 
 def core_ids(keys: np.ndarray, core: np.ndarray) -> np.ndarray:
@@ -101,33 +182,6 @@ def core_ids(keys: np.ndarray, core: np.ndarray) -> np.ndarray:
     return np.where(core[at] == keys, at, -1)
 
 
-def _run_keys(shared, size: int, n: int, allowed):
-    """Keys of the runs of n core words. A run is as frequent as its parts at most, so those with a part that is not allowed are left out.
-
-    ``allowed``: for pairs a flag per core word, for triples the sorted keys of the kept pairs.
-    """
-
-    def make():
-        core, short = shared.value, allowed.value
-
-        def keys(tokens: np.ndarray) -> np.ndarray:
-            ids = core_ids(tokens, core)
-            if len(ids) < n:
-                return ids[:0]
-            pair = ids[:-1] * size + ids[1:]
-            known = (ids[:-1] >= 0) & (ids[1:] >= 0)
-            if n == 2:
-                return pair[known & short[ids[:-1]] & short[ids[1:]]]
-            at = np.searchsorted(short, pair)
-            hit = known & (short[np.minimum(at, len(short) - 1)] == pair) if len(short) else known & False
-            both = hit[:-1] & hit[1:]
-            return at[:-1][both] * size + ids[2:][both]
-
-        return keys
-
-    return make
-
-
 @dataclass
 class BackoffAutomaton:
     """Histories as states, sorted keys as arcs, failure weights per state.
@@ -148,18 +202,20 @@ class BackoffAutomaton:
 
     def traverse(self, ids: np.ndarray) -> float:
         """Log10 probability of a text's words; words outside the core (-1) cost only the failure arcs of the state they meet."""
+        return float(self.weights(ids, np.arange(len(ids)) == 0)[0].sum()) if len(ids) else 0.0
+
+    def weights(self, ids: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What each word costs, and the places of the pair and triple that it ends; ``start`` flags the texts' first words."""
         n = len(ids)
-        if not n:
-            return 0.0
         inside = ids >= 0
-        u = np.concatenate([[-1], ids[:-1]])
+        u = np.where(start, -1, np.roll(ids, 1))
         arc2 = self._find(self.pairs, np.where(inside & (u >= 0), u * self.size + ids, -1))  # the pair each word ends
-        held = np.concatenate([[-1], arc2[:-1]])  # the two-word history each word meets
+        held = np.where(start, -1, np.roll(arc2, 1))  # the two-word history each word meets
         arc3 = self._find(self.triples, np.where(inside & (held >= 0), held * self.size + ids, -1))
         fail2 = np.where(held >= 0, self.two_fail[held], 0.0) if len(self.two_fail) else np.zeros(n)
         fail1 = np.where(u >= 0, self.one_fail[u], 0.0)
         lower = np.where(arc2 >= 0, self.pair_log[arc2] if len(self.pair_log) else 0.0, fail1 + np.where(inside, self.root[ids], 0.0))
-        return float(np.where(arc3 >= 0, self.triple_log[arc3] if len(self.triple_log) else 0.0, fail2 + lower).sum())
+        return np.where(arc3 >= 0, self.triple_log[arc3] if len(self.triple_log) else 0.0, fail2 + lower), arc2, arc3
 
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -195,61 +251,170 @@ def build_automaton(core: np.ndarray, total: int, distinct: int, pairs: np.ndarr
     return out
 
 
-def score(docs: DataFrame, training: DataFrame, core: float = 1e-6, kept: float = 1e-5) -> DataFrame:
+def _failure_of(mass: str, lower: str) -> Column:
+    """``_failure`` of a grouped table."""
+    rest = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-9))
+    return F.log10(rest(mass) / rest(lower))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Model:
+    """The tables of a training set's model.
+
+    pairs: a, b (words), n, mass (probability), lower (the last word's own); triples: a, b (pairs), n, mass,
+    lower (the last pair's); fail1, fail2: key of a history and its failure weight. These are deleted once
+    the automaton of the frequent n-grams and ``added`` are made of them.
+    """
+
+    def __init__(self, training: DataFrame, least: int, core: float, kept_share: float) -> None:
+        self.spark = training.sparkSession
+        self.paths: dict[str, str] = {}
+
+        def keep(df: DataFrame, label: str) -> DataFrame:
+            self.paths[label] = path = scratch_path(self.spark, f"lm-{label}")
+            df.write.parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
+
+        self.words = keep(_counted(training, 1), "words")
+        whole = self.words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+        self.total, self.distinct = whole["n"], whole["v"]
+        self.unit = math.log10(self.total + self.distinct + 1)
+        side = lambda df, on, **cols: df.select(F.col("key").alias(on), *[F.col(c).alias(k) for k, c in cols.items()]).hint("shuffle_hash")
+
+        def kept(counts: DataFrame, shorter: DataFrame, n: int, lower: Column) -> DataFrame:
+            # A frequent part makes one of its partitions long; such joins can be split.
+            often = keep(counts.where(F.col("n") >= least), f"counted{n}")
+            rows = often.join(side(shorter, "a", __a="n"), "a").join(side(shorter, "b", __b="n" if n == 2 else "mass"), "b")
+            return rows.select("a", "b", "n", ((F.col("n") - DISCOUNT) / F.col("__a")).alias("mass"), lower.alias("lower"))
+
+        def named(rows: DataFrame, n: int) -> DataFrame:
+            return rows.withColumn("key", joined_key(F.col("a"), F.col("b"), n))
+
+        own = (F.col("__b") + 1) / F.lit(float(self.total + self.distinct + 1))
+        self.pairs = named(keep(kept(_counted(training, 2), self.words.where(F.col("n") >= least), 2, own), "pairs"), 2)
+        self.pair_filter = self.spark.sparkContext.broadcast(Filter(self.pairs))
+        self.triples = named(keep(kept(_counted(training, 3, self.pair_filter), self.pairs, 3, F.col("__b")), "triples"), 3)
+        self.triple_filter = self.spark.sparkContext.broadcast(Filter(self.triples))
+        fail = lambda rows: rows.groupBy(F.col("a").alias("key")).agg(_failure_of("mass", "lower").alias("fail"))
+        self.fail1, self.fail2 = keep(fail(self.pairs), "fail1"), keep(fail(self.triples), "fail2")
+        back = lambda fails, on, name: side(fails, on, **{name: "fail"})
+        zero = lambda c: F.coalesce(c, F.lit(0.0))
+        gain = F.log10("mass") - F.log10("lower")
+        none = F.lit(None).cast("double")
+        plain = F.log10(F.col("n") + 1)
+        self.automaton = self.spark.sparkContext.broadcast(self.hot(core, kept_share))
+        # What an n-gram adds to a text's weight; of words also what they add to the sum of unigrams.
+        self.added = keep(
+            self.words.join(back(self.fail1, "key", "__own"), "key", "left").select("key", plain.alias("base"), (plain + zero(F.col("__own"))).alias("add"))
+            .unionByName(self.pairs.join(back(self.fail1, "a", "__short"), "a").join(back(self.fail2, "key", "__own"), "key", "left").select("key", none.alias("base"), (gain - F.col("__short") + zero(F.col("__own"))).alias("add")))
+            .unionByName(self.triples.join(back(self.fail2, "a", "__short"), "a").select("key", none.alias("base"), (gain - F.col("__short")).alias("add"))),
+            "added",
+        )
+        for label in set(self.paths) - {"added"}:
+            discard(self.spark, self.paths[label])
+
+    def hot(self, core: float, kept: float) -> tuple[BackoffAutomaton, np.ndarray, np.ndarray]:
+        """The automaton of the frequent n-grams with the whole model's weights, and its words' keys and counts."""
+        often = lambda rows, share: rows.where(F.col("n") >= max(2, math.ceil(share * self.total)))
+        failing = lambda rows, fails: rows.toPandas().merge(fails.join(F.broadcast(rows.select("key")), "key", "left_semi").toPandas(), on="key", how="left")
+        words = failing(often(self.words, core), self.fail1).sort_values("key")  # at most 1 / core
+        keys, n = words["key"].to_numpy(np.int64), words["n"].to_numpy(np.int64)
+        size = max(1, len(keys))
+        root = np.log10(n + 1.0) - self.unit if len(n) else np.zeros(1)
+        one_fail = words["fail"].fillna(0.0).to_numpy(float) if len(n) else np.zeros(1)
+        p = failing(often(self.pairs, kept).select("key", "a", "b", "mass"), self.fail2)  # at most 1 / kept
+        p["first"], p["second"] = (core_ids(p[c].to_numpy(np.int64), keys) for c in "ab")
+        p = p[(p["first"] >= 0) & (p["second"] >= 0)]
+        p = p.assign(arc=p["first"] * size + p["second"]).sort_values("arc").reset_index(drop=True)
+        place = pd.Series(p.index, p["key"])
+        t = often(self.triples, kept).select("a", "b", "mass").toPandas()  # at most 1 / kept
+        t = t[t["a"].isin(place.index) & t["b"].isin(place.index)]
+        t = t.assign(arc=place.reindex(t["a"]).to_numpy(np.int64) * size + p["second"].to_numpy(np.int64)[place.reindex(t["b"]).to_numpy(np.int64)]).sort_values("arc")
+        as_log = lambda x: np.log10(x.to_numpy(float))
+        return BackoffAutomaton(size, root, p["arc"].to_numpy(np.int64), as_log(p["mass"]), one_fail, t["arc"].to_numpy(np.int64), as_log(t["mass"]), p["fail"].fillna(0.0).to_numpy(float)), keys, n
+
+
+def score(docs: DataFrame, training: DataFrame, core: float = 1e-6, kept: float = 1e-5, least: int = 2) -> DataFrame:
     """All columns of ``docs`` but its text, with n_tokens, n_known, train_tokens, base_score and score.
 
-    ``training`` holds the texts to learn from. Log-probabilities are decimal.
+    ``training`` holds the texts to learn from; pairs and triples of at least ``least`` occurrences (2 or more) count. ``core``
+    and ``kept`` are the shares from which words, and pairs and triples, are broadcast. Log-probabilities are decimal.
     """
     spark = docs.sparkSession
-    counts = materialize(_counted(training, _each), "unigrams")
-    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    total, distinct = whole["n"], whole["v"]
-    least = max(2, math.ceil(core * total))
-    common = counts.where(F.col("n") >= least).toPandas().sort_values("key")  # at most 1 / core words
-    hashes, core_n = common["key"].to_numpy(np.int64), common["n"].to_numpy(np.int64)
-    size = max(1, len(hashes))
-    shared = spark.sparkContext.broadcast(hashes)
-    most = max(2, math.ceil(kept * total))
-    runs_of = lambda n, allowed: _counted(training, _run_keys(shared, size, n, allowed)).where(F.col("n") >= most).toPandas().sort_values("key")  # noqa: E731  at most 1 / kept
-    pairs = runs_of(2, spark.sparkContext.broadcast(np.append(core_n >= most, False)))
-    keys2, n2 = pairs["key"].to_numpy(np.int64), pairs["n"].to_numpy(np.int64)
-    triples = runs_of(3, spark.sparkContext.broadcast(keys2))
-    model = build_automaton(core_n, total, distinct, keys2, n2, triples["key"].to_numpy(np.int64), triples["n"].to_numpy(np.int64))
-    automaton = spark.sparkContext.broadcast((model, core_n))
-    unit = math.log10(total + distinct + 1)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # each table is written once, so its shuffle files need not outlive it
+    try:
+        return _scored(spark, docs, Model(training, least, core, kept))
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
+    unit, total = model.unit, model.total
+    automaton, pair_filter, triple_filter = model.automaton, model.pair_filter, model.triple_filter
 
     own = [f for f in docs.schema if f.name != "text"]
-    plain = docs.select(*[F.col(f.name) for f in own], "text")
-    made = "n_tokens long, __in_core long, __base double, __score double, __rare array<long>"
+    plain = docs.select(*[F.col(f.name) for f in own], "text", F.xxhash64("text").alias("__text"))
+    made = "n_tokens long, __in_core long, __base double, __score double"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (fsm, n_of), core = automaton.value, shared.value
-        log_n = np.log10(n_of + 1.0)
+        fsm, core, n_of = automaton.value
+        log_n = np.append(np.log10(n_of + 1.0), 0.0)
         for pdf in batches:
-            rows = []
-            for known in token_keys(list(pdf.pop("text"))):
-                ids = core_ids(known, core)
-                inside = ids >= 0
-                rare = known[~inside]
-                path = fsm.traverse(ids)
-                base = float(log_n[ids[inside]].sum()) - unit * len(known)
-                rows.append((len(known), int(inside.sum()), base, path - unit * len(rare), rare))
-            if not rows:
+            if not len(pdf):
                 continue
-            pdf[["n_tokens", "__in_core", "__base", "__score", "__rare"]] = pd.DataFrame(rows, columns=["n_tokens", "__in_core", "__base", "__score", "__rare"], index=pdf.index)
+            tokens, start, places = token_run(list(pdf.pop("text")))
+            ids = core_ids(tokens, core)
+            inside = ids >= 0
+            summed = lambda x: np.add.reduceat(x, places)
+            pdf["n_tokens"] = summed(np.ones(len(ids), np.int64))
+            pdf["__in_core"] = summed(inside.astype(np.int64))
+            pdf["__base"] = summed(log_n[ids]) - unit * pdf["n_tokens"]
+            pdf["__score"] = summed(np.where(inside, 0.0, -unit) + fsm.weights(ids, start)[0])
             yield pdf
 
-    numbered = plain.withColumn("__row", F.monotonically_increasing_id())
-    schema = numbered.drop("text").schema
+    def asked(part: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The n-grams of each text, of one slice of the keys, whose weight is not broadcast."""
+        fsm, core, _ = automaton.value
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            tokens, start, places = token_run(list(pdf.text))
+            text = np.repeat(pdf["__text"].to_numpy(np.int64), np.diff(np.append(places, len(tokens))))
+            ids = core_ids(tokens, core)
+            _, arc2, arc3 = fsm.weights(ids, start)
+            pairs = ending(tokens, 2)
+            may2 = ~start & pair_filter.value.has(pairs)
+            triples = ending(pairs, 3)
+            may3 = may2 & np.append(False, may2[:-1])
+            may3[may3] = triple_filter.value.has(triples[may3])
+            for keys, wanted in ((tokens, ids < 0), (pairs, may2 & (arc2 < 0)), (triples, may3 & (arc3 < 0))):
+                at = np.flatnonzero(wanted & ((keys < 0) == part))
+                for i in range(0, len(at), 200_000):
+                    yield pd.DataFrame({"__text": text[at[i : i + 200_000]], "key": keys[at[i : i + 200_000]]})
+
+    schema = plain.drop("text").schema
     for f in StructType.fromDDL(made):
         schema = schema.add(f)
-    parts = materialize(numbered.select(*[f.name for f in own], "__row", "text").mapInPandas(run, schema), "traversed")
-    # A rare word's share of all tokens is below ``core``: no key of this join is hot.
-    rare = parts.select("__row", F.explode("__rare").alias("key")).groupBy("key", "__row").agg(F.count("*").alias("k"))
-    known = rare.join(counts, "key").groupBy("__row").agg(F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("__more"), F.sum("k").alias("__hits"))
-    joined = parts.drop("__rare").join(known, "__row", "left")
-    more = F.coalesce("__more", F.lit(0.0))
-    return joined.select(
-        *[f.name for f in own], "n_tokens", (F.col("__in_core") + F.coalesce("__hits", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("__base") + more).alias("base_score"), (F.col("__score") + more).alias("score"),
+    parts = materialize(plain.mapInPandas(run, schema), "traversed")
+    # An n-gram that is asked for has a small share of the training tokens, so in texts like them no key of this join is hot.
+    slices = []
+    for part in range(SLICES):
+        texts = plain.select("text", "__text").mapInPandas(partial(asked, part), "__text long, key long")
+        weights = model.added.where((F.col("key") < 0) == F.lit(part == 1)).hint("shuffle_hash")
+        found = texts.join(weights, "key").groupBy("__text").agg(F.sum("add").alias("__add"), F.coalesce(F.sum("base"), F.lit(0.0)).alias("__plain"), F.count("base").alias("__hits"))
+        slices.append(materialize(found, "fetched"))
+    discard(spark, model.paths["added"])
+    copies = parts.groupBy("__text").agg(F.count("*").alias("__copies"))  # equal texts have asked together
+    found = reduce(DataFrame.unionByName, slices).groupBy("__text").agg(*[F.sum(c).alias(c) for c in ("__add", "__plain", "__hits")])
+    known = found.join(copies, "__text").select("__text", *[(F.col(c) / F.col("__copies")).alias(c) for c in ("__add", "__plain")], (F.col("__hits") / F.col("__copies")).cast("long").alias("__hits"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return parts.join(known, "__text", "left").select(
+        *[f.name for f in own], "n_tokens", (F.col("__in_core") + zero("__hits")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("__base") + zero("__plain")).alias("base_score"), (F.col("__score") + zero("__add")).alias("score"),
     )

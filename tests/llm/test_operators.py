@@ -361,6 +361,44 @@ def test_scores_equal_brute_force(spark):
     assert all(r.n_known == 0 and r.base_score == 0 for r in alone)
 
 
+def brute_scores(texts, train):
+    """Backoff over all n-grams of two occurrences or more, by dictionaries."""
+    seqs = [[*words(t), ""] for t in texts]
+    count = lambda k: Counter(tuple(seqs[i][j : j + k]) for i in train for j in range(len(seqs[i]) - k + 1))
+    one = count(1)
+    kept = [None, one, *[{g: n for g, n in count(k).items() if n >= 2} for k in (2, 3)]]
+    n, v = sum(one.values()), len(one)
+    after = defaultdict(list)
+    for g in [*kept[2], *kept[3]]:
+        after[g[:-1]].append(g)
+
+    def prob(g):
+        if len(g) == 1:
+            return (one[g] + 1) / (n + v + 1)
+        return arc(g) if g in kept[len(g)] else weight(g[:-1]) * prob(g[1:])
+
+    arc = lambda g: (kept[len(g)][g] - 0.5) / kept[len(g) - 1][g[:-1]]
+    weights = {}
+
+    def weight(h):
+        if h not in weights:
+            weights[h] = (1 - sum(map(arc, after[h]))) / (1 - sum(prob(g[1:]) for g in after[h])) if after[h] else 1.0
+        return weights[h]
+
+    return [sum(math.log10(prob(tuple(s[max(0, j - 2) : j + 1]))) for j in range(len(s))) for s in seqs]
+
+
+@pytest.mark.parametrize("core, kept", [(1e-3, 2e-3), (2e-2, 1e-3), (1.0, 1.0), (1e-6, 1e-5)])
+def test_scores_hold_every_repeated_ngram_whatever_is_broadcast(spark, core, kept):
+    rng = random.Random(7)
+    texts = [*AWKWARD, *[prose(rng, 60) for _ in range(60)]]
+    texts += [texts[-1], texts[-2] + " never seen", "unseen " + texts[-1], texts[20] + " " + texts[21]]
+    docs = frame(spark, texts)
+    train = [i for i in range(len(texts)) if common.crc_mod_py(i, 7) != 2]
+    got = {r.doc_id: r.score for r in lmscore.score(docs.drop("score"), docs.where(common.crc_mod("doc_id", 7) != 2), core=core, kept=kept).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(brute_scores(texts, train), rel=1e-9)
+
+
 def test_automaton_states_add_up_to_one():
     rng = random.Random(1)
     seq = [rng.choice([0, 1, 2, 0, 1, 3]) for _ in range(4000)]
