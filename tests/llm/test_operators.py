@@ -155,6 +155,17 @@ def test_plan_is_close_to_the_bound():
     assert sum(n for _, n in plan) <= 1.002 * sum(k * v for k, v in lengths.items()) / 4096 + 1
 
 
+@pytest.mark.parametrize("share, fewest", [(1, 3600), (8, 450)])
+def test_plan_keeps_fillings_that_leave_room(share, fewest):
+    lengths = {2080: 2400 // share, 1124: 2400 // share, 1069: 2400 // share, 894: 4800 // share}  # no filling exceeds 4043
+    made = Counter()
+    for pattern, n in (plan := packing.plan(lengths)):
+        assert sum(pattern) <= 4096
+        made.update({k: m * n for k, m in Counter(pattern).items()})
+    assert made == lengths and sum(n for _, n in packing.best_fit(lengths, 4096)) > 1.2 * fewest
+    assert sum(n for _, n in plan) <= 1.03 * fewest
+
+
 # ---- 3
 
 
