@@ -292,13 +292,19 @@ class Model:
             rows = often.join(side(shorter, "a", __a="n"), "a").join(side(shorter, "b", __b="n" if n == 2 else "mass"), "b")
             return rows.select("a", "b", "n", ((F.col("n") - DISCOUNT) / F.col("__a")).alias("mass"), lower.alias("lower"))
 
+        def drop(*labels: str) -> None:
+            for label in labels:
+                discard(self.spark, self.paths[label])
+
         def named(rows: DataFrame, n: int) -> DataFrame:
             return rows.withColumn("key", joined_key(F.col("a"), F.col("b"), n))
 
         own = (F.col("__b") + 1) / F.lit(float(self.total + self.distinct + 1))
         self.pairs = named(keep(kept(_counted(training, 2), self.words.where(F.col("n") >= least), 2, own), "pairs"), 2)
+        drop("counted2")
         self.pair_filter = self.spark.sparkContext.broadcast(Filter(self.pairs))
         self.triples = named(keep(kept(_counted(training, 3, self.pair_filter), self.pairs, 3, F.col("__b")), "triples"), 3)
+        drop("counted3")
         self.triple_filter = self.spark.sparkContext.broadcast(Filter(self.triples))
         fail = lambda rows: rows.groupBy(F.col("a").alias("key")).agg(_failure_of("mass", "lower").alias("fail"))
         self.fail1, self.fail2 = keep(fail(self.pairs), "fail1"), keep(fail(self.triples), "fail2")
@@ -309,14 +315,15 @@ class Model:
         plain = F.log10(F.col("n") + 1)
         self.automaton = self.spark.sparkContext.broadcast(self.hot(core, kept_share))
         # What an n-gram adds to a text's weight; of words also what they add to the sum of unigrams.
-        self.added = keep(
-            self.words.join(back(self.fail1, "key", "__own"), "key", "left").select("key", plain.alias("base"), (plain + zero(F.col("__own"))).alias("add"))
-            .unionByName(self.pairs.join(back(self.fail1, "a", "__short"), "a").join(back(self.fail2, "key", "__own"), "key", "left").select("key", none.alias("base"), (gain - F.col("__short") + zero(F.col("__own"))).alias("add")))
-            .unionByName(self.triples.join(back(self.fail2, "a", "__short"), "a").select("key", none.alias("base"), (gain - F.col("__short")).alias("add"))),
-            "added",
-        )
-        for label in set(self.paths) - {"added"}:
-            discard(self.spark, self.paths[label])
+        of_words = self.words.join(back(self.fail1, "key", "__own"), "key", "left").select("key", plain.alias("base"), (plain + zero(F.col("__own"))).alias("add"))
+        of_pairs = self.pairs.join(back(self.fail1, "a", "__short"), "a").join(back(self.fail2, "key", "__own"), "key", "left").select("key", none.alias("base"), (gain - F.col("__short") + zero(F.col("__own"))).alias("add"))
+        of_triples = self.triples.join(back(self.fail2, "a", "__short"), "a").select("key", none.alias("base"), (gain - F.col("__short")).alias("add"))
+        self.added = keep(of_words, "added1")
+        drop("words")
+        self.added = self.added.unionByName(keep(of_pairs, "added2"))
+        drop("pairs", "fail1")
+        self.added = self.added.unionByName(keep(of_triples, "added3"))
+        drop("triples", "fail2")
 
     def hot(self, core: float, kept: float) -> tuple[BackoffAutomaton, np.ndarray, np.ndarray]:
         """The automaton of the frequent n-grams with the whole model's weights, and its words' keys and counts."""
@@ -409,7 +416,8 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
         weights = model.added.where((F.col("key") < 0) == F.lit(part == 1)).hint("shuffle_hash")
         found = texts.join(weights, "key").groupBy("__text").agg(F.sum("add").alias("__add"), F.coalesce(F.sum("base"), F.lit(0.0)).alias("__plain"), F.count("base").alias("__hits"))
         slices.append(materialize(found, "fetched"))
-    discard(spark, model.paths["added"])
+    for n in (1, 2, 3):
+        discard(spark, model.paths[f"added{n}"])
     copies = parts.groupBy("__text").agg(F.count("*").alias("__copies"))  # equal texts have asked together
     found = reduce(DataFrame.unionByName, slices).groupBy("__text").agg(*[F.sum(c).alias(c) for c in ("__add", "__plain", "__hits")])
     known = found.join(copies, "__text").select("__text", *[(F.col(c) / F.col("__copies")).alias(c) for c in ("__add", "__plain")], (F.col("__hits") / F.col("__copies")).cast("long").alias("__hits"))
