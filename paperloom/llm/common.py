@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -21,11 +25,13 @@ def small_batches(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, one machine) a temporary folder is
-    made and set.
+    Where the session names none, a temporary folder is made and set if driver and executors are one process
+    (tests, one machine); on a cluster that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="paperloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -35,14 +41,66 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read the table back.
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scratch:
+    """Tables of the shared folder by label, deleted when their last reader is done.
 
-    A lost executor costs a re-read, never a recomputation.
+    Writing a table cuts its lineage: a lost executor costs a re-read, never a recomputation.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths[label] = path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        for label in labels:
+            discard(self.spark, self.paths.pop(label))
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """One table of the shared folder, for results that outlive the call that makes them."""
+    return Scratch(df.sparkSession).keep(df, label)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, a query's shuffle files go when it has ended; for jobs that write each of their tables once."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+Batches = Iterator[pd.DataFrame]
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for mapInPandas; a worker outlives its tasks, so what a task has freed goes back to the system."""
+
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # only in the GNU C library
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
 
 
 def crc_mod(col: str, modulus: int) -> Column:
@@ -103,7 +161,7 @@ def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, counts
 
 
-def batched_words(texts: list[str | None], most: int = 2_000_000) -> list[np.ndarray]:
+def batched_words(texts: list[str | None], most: int = 600_000) -> list[np.ndarray]:
     """The word hashes of each text; texts are joined up to about ``most`` characters at a time."""
     out: list[np.ndarray] = []
     i = 0

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from paperloom.llm.common import Forest, materialize
+from paperloom.llm.common import Forest, Scratch, lean
 
 
 def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -32,14 +33,17 @@ def components(edges: DataFrame) -> DataFrame:
     that label, so that distances shrink by more than half. Labels stay in tables; the driver
     sees one count a round.
     """
-    stars = edges.select("a", "b").where("a <> b").mapInPandas(_contract, "a long, b long").distinct()
-    both = materialize(stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels")
-    while True:
+    scratch = Scratch(edges.sparkSession)
+    stars = scratch.keep(edges.select("a", "b").where("a <> b").mapInPandas(lean(_contract), "a long, b long").distinct(), "stars")
+    both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = scratch.keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "labels0")
+    for turn in count(1):
         seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         near = labels.join(seen, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("mid"))
         jump = labels.select(F.col("node").alias("mid"), F.col("component").alias("far"))
-        new = materialize(near.join(jump, "mid", "left").select("node", "old", F.least("mid", F.coalesce("far", "mid")).alias("component")), "labels")
+        new = scratch.keep(near.join(jump, "mid", "left").select("node", "old", F.least("mid", F.coalesce("far", "mid")).alias("component")), f"labels{turn}")
+        scratch.drop(f"labels{turn - 1}")
         labels = new.select("node", "component")
         if new.where("old <> component").isEmpty():
+            scratch.drop("stars")
             return labels

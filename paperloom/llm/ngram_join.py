@@ -1,25 +1,32 @@
-"""N-gram Jaccard join, exact: prefix keys, size-banded tiles, bitmap bounds, array intersection.
-
-A document is the set of its distinct word n-grams. In one fixed order of all n-grams (those
-found frequent last, then by hash) two sets of Jaccard similarity t or more share an n-gram
-among the first n - ceil(t n) + 1 of each, so only documents that share such a key can be linked.
-Keys of two documents give a pair. Keys of more give hub pairs first: per key and size
-band one member is compared with all others, in several rounds with different
-hubs; keys whose members have thereby fallen into one component need no more. What is
-still contested goes into tiles: the members of a key in neighbouring size bands, in
-blocks of bounded size, block against block. Every pair, from hubs or tiles, must pass
-the bitmap bound: a set's parity bitmap has one bit per hash bucket, and the bits in which two
-bitmaps differ bound the sets' difference from below, hence their overlap from above. Survivors are
-decided by intersecting the sorted arrays.
-
-Documents with equal sets are one node from the start; components are found in tables.
-Hot keys are never gathered: they are salted until they are joined with their
-hubs by joins that can be split, and tiles are bounded.
-
-Null texts, empty texts and texts without words have an empty set and are linked with
-nothing. Repeated rows, even of one doc_id, are documents of equal sets. Rows with a
-null doc_id are returned with a null component. Only doc_id and text are read.
-Sets are compared by 64-bit hashes of n-grams, classes by 64-bit hashes of sets and sizes.
+"""N-gram Jaccard join, exact: shared prefixes, size-banded tiles, bitmap bounds, array intersection.
+
+A document is the set of its distinct word n-grams. Two sets that reach the threshold share most of
+either, so three filters of rising cost leave only those that can:
+
+1. In hash order, the first n - ceil(t n) + k(n) n-grams of linked sets have k of the smaller one in common. A set
+   of whose prefix fewer n-grams occur in any other prefix links with nothing. Tasks settle the
+   n-grams they hold several times themselves and hand on one row for each, so that a frequent one
+   costs a row a task and not one a document.
+2. The sets that are left are counted out in full. In order of rising frequency the first n - ceil(t n) + 1
+   n-grams of linked sets meet; a set with as many n-grams of its own drops out, and for the others
+   only rare n-grams make candidates. Sets that share such a key, directly or by others, form a group.
+3. A group is compared in tiles. A small one is a single tile. A large one is cut into size bands and
+   these into blocks of bounded size: first each block with the hubs of its band and its neighbours, then, where a
+   group is not yet one component, the sets outside its largest component against all blocks of neighbouring bands.
+
+In a tile every pair of sets of fitting sizes and different components must pass the bitmap bound: a parity bitmap has one
+bit per hash bucket, and the bits in which two differ, with the n-grams that no other set has, bound the sets'
+difference from below, hence their overlap from above. Survivors are decided by intersecting the sorted
+arrays. Links join components at once, and a tile hands on the edges of a spanning forest, at most one for
+each of its sets.
+
+Documents with equal sets are one node from the start. Components are found in tables. The join gives
+components, not link counts: pairs inside a component that is known already are skipped.
+
+Null texts, empty texts and texts without words have an empty set and are linked with nothing.
+Repeated rows, even of one doc_id, are documents of equal sets; rows that share a doc_id but not a
+text are documents of their own. Rows with a null doc_id are returned with a null component. Only
+doc_id and text are read, so other columns may have any name. Sets are named by 128-bit hashes, n-grams by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -30,16 +37,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.llm.common import batched_words, bounds, chain_hashes, materialize, runs
+from paperloom.llm.common import Scratch, batched_words, bounds, chain_hashes, lean, runs, shuffles_removed
 from paperloom.llm.graph import components
 
-HOT_SHARE = 0.002  # documents that must hold an n-gram for it to count as frequent
-SALTS = 64
-BLOCK = 1024
-ROUNDS = 2
+EXTRA = 10  # k(n), in percent of a set's size
+FLUSH = 1_000_000  # n-grams that a task settles together
+BLOCK = 1 << 18  # n-grams of a block
+HUBS = 2  # of a band
 BLOOM_BITS = 1 << 26
+MEASURED = "doc_id long, text_hash long, row long, n long, hi long, lo long, prefix binary"
 
 
 def shingles(h: np.ndarray, words: int) -> np.ndarray:
@@ -51,289 +60,359 @@ def shingle_sets(texts: pd.Series, words: int) -> list[np.ndarray]:
     return [shingles(h, words) for h in batched_words(list(texts))]
 
 
-def set_name(items: np.ndarray) -> int:
-    return np.uint64(xxhash.xxh3_64_intdigest(items.tobytes())).astype(np.int64)
+def set_names(sets: list[np.ndarray]) -> np.ndarray:
+    """128-bit names, as two integers a row."""
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(s.tobytes()) for s in sets]), np.int64).reshape(-1, 2)
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-n * percent // 100) + 1
+def overlap_needed(n: int, percent: int) -> int:
+    return -(-n * percent // 100)
 
 
-def band_of(n: Column, percent: int) -> Column:
-    return F.floor(F.log(n) / math.log(100 / percent)).cast("int")
+def extra(n: int) -> int:
+    return -(-n * EXTRA // 100)
 
 
-def bitmap(items: np.ndarray) -> np.ndarray:
-    """Parities of bucket counts, packed; as many buckets as the power of two at or above the set's size, 64 at least."""
-    width = max(64, 1 << (len(items) - 1).bit_length())
-    return np.packbits(np.bincount((items >> np.uint64(20)).astype(np.int64) & (width - 1), minlength=width) & 1 == 1)
+def extended_length(n: int, percent: int) -> int:
+    """Two linked sets have ``extra`` of the smaller size in common within so many of each."""
+    return n - overlap_needed(n, percent) + extra(n)
 
 
-def fold(bits: np.ndarray, width: int) -> np.ndarray:
-    """A row-wise bitmap folded to ``width`` bytes; buckets are taken modulo the width, so halves add up."""
-    while bits.shape[1] > width:
-        half = bits.shape[1] // 2
-        bits = bits[:, :half] ^ bits[:, half:]
-    return bits
+def shared_needed(n: Column, percent: int) -> Column:
+    """``extra`` of the smallest size that a partner of a set of n can have."""
+    up = lambda x, share: F.floor((x * share + 99) / 100)
+    return up(up(n, percent), EXTRA)
 
 
-def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Bits in which packed bitmaps differ, along the last axis."""
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+def measure(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of every row its id, a hash of its text, a number of its own, its set's size and name, and the n-grams of the extended prefix."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        row = TaskContext.get().partitionId() << 36
+        for pdf in batches:
+            sets = shingle_sets(pdf.text, words)
+            names = set_names(sets)
+            yield pd.DataFrame({
+                "doc_id": pdf.doc_id.astype("Int64"), "text_hash": pdf.text_hash, "row": np.arange(row, row + len(sets)), "n": [len(s) for s in sets], "hi": names[:, 0], "lo": names[:, 1],
+                "prefix": [s[: extended_length(len(s), percent)].tobytes() if len(s) else None for s in sets],
+            })
+            row += len(sets)
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(lean(run), MEASURED)
+
+
+def settle(names: np.ndarray, prefixes: list[bytes]) -> pd.DataFrame:
+    """Rows (key, name, credit) of some sets' prefixes.
+
+    An n-gram of one set: credit 0. One of several sets: a row with credit -1, and each of these sets is
+    credited with it in a row whose key is its own name.
+    """
+    key = np.frombuffer(b"".join(prefixes), np.int64)
+    name = np.repeat(names, [len(p) // 8 for p in prefixes])
+    order = np.lexsort((name, key))
+    key, name = key[order], name[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+    key, name = key[new], name[new]
+    at = bounds(key)
+    size = np.diff(at)
+    several = np.repeat(size > 1, size)
+    who, times = np.unique(name[several], return_counts=True)
+    first = at[:-1]
+    return pd.DataFrame({"key": np.concatenate([key[first], who]), "name": np.concatenate([name[first], who]), "credit": np.concatenate([np.where(size > 1, -1, 0), times]).astype(np.int32)})
+
+
+def prefix_keys(measured: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names: list[int] = []
+        prefixes: list[bytes] = []
+        held = 0
+        for pdf in batches:
+            for name, prefix in zip(pdf.lo.tolist(), pdf.prefix):
+                names.append(name)
+                prefixes.append(prefix)
+                held += len(prefix) // 8
+                if held >= FLUSH:
+                    yield settle(np.array(names), prefixes)
+                    names, prefixes, held = [], [], 0
+        if held:
+            yield settle(np.array(names), prefixes)
 
-def may_link(diff: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets that differ in at least ``diff`` items can reach the threshold."""
-    return diff * (100 + percent) <= (na + nb) * (100 - percent)
+    return measured.select("lo", "prefix").mapInPandas(lean(run), "key long, name long, credit int")
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+def credits_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(name, credit) from rows sorted by key and name: an n-gram that several sets have counts for each.
 
+    Of a key that spans batches only its first name is held, however many rows it has. Copies of a set that tasks have
+    settled apart may be credited more than once, which keeps a set in and never loses one.
+    """
+    key_now = name_now = None  # the key that the last batch ended with, and its only name so far, not yet credited
+    shared = False  # whether that key is known to be shared
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        key, name, credit = (pdf[c].to_numpy() for c in ("key", "name", "credit"))
+        given = credit > 0
+        gained, amount = [name[given]], [credit[given].astype(np.int64)]
+        key, name, credit = key[~given], name[~given], credit[~given]
+        if len(key):
+            at = bounds(key)
+            first, size = at[:-1], np.diff(at)
+            several = (np.minimum.reduceat(name, first) != np.maximum.reduceat(name, first)) | (np.minimum.reduceat(credit, first) < 0)
+            if key[0] == key_now:
+                several[0] |= shared or (name_now is not None and (name[: size[0]] != name_now).any())
+                if several[0] and name_now is not None:
+                    gained.append(np.array([name_now]))
+                    amount.append(np.ones(1, np.int64))
+            ask = np.repeat(several, size) & (credit == 0)
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+            gained.append(name[ask & new])
+            amount.append(np.ones(int((ask & new).sum()), np.int64))
+            key_now, shared = key[-1], bool(several[-1])
+            name_now = None if shared else name[-1]
+        who, at = np.unique(np.concatenate(gained), return_inverse=True)
+        yield pd.DataFrame({"name": who, "credit": np.bincount(at, np.concatenate(amount), len(who)).astype(np.int64)})
+
+
+def bloom(ids: DataFrame, column: str) -> np.ndarray:
+    """A filter of BLOOM_BITS bits over a column of integers; ``spot`` says where."""
+    at = spot(column)
+    words = ids.groupBy((at / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))).alias("v")).toPandas()  # at most BLOOM_BITS / 64 rows
+    bits = np.zeros(BLOOM_BITS // 64, np.int64)
+    bits[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64)
+    return bits
 
-def measure(docs: DataFrame, words: int) -> DataFrame:
-    """kind 0: doc_id, n, set (name), bits; kind 1: a frequent n-gram (set) and how often its task saw it (n)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts: list[np.ndarray] = []
-        held = seen = 0
+def spot(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(BLOOM_BITS))
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """node, n and items of the wanted sets (hi, lo, n, doc, node), each from one text of its document.
 
-        def frequent() -> pd.DataFrame:
-            k, n = np.unique(np.concatenate(parts), return_counts=True)
-            often = n >= max(3, HOT_SHARE * seen)
-            return pd.DataFrame({"kind": 1, "doc_id": pd.array([None] * int(often.sum()), "Int64"), "n": n[often], "set": k[often].view(np.int64), "bits": None})
+    A Bloom filter of fixed size spares most other texts; the join that follows is exact. A task passes a set on once, not once a copy.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(bloom(wanted, "doc"))
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
         for pdf in batches:
-            sets = shingle_sets(pdf.text, words)
-            yield pd.DataFrame({"kind": 0, "doc_id": pdf.doc_id.astype("Int64"), "n": [len(s) for s in sets], "set": [set_name(s) for s in sets], "bits": [bitmap(s).tobytes() if len(s) else None for s in sets]})
-            parts += sets
-            held += sum(map(len, sets))
-            seen += len(sets)
-            if held > 3_000_000:
-                yield frequent()
-                parts, held, seen = [], 0, 0
-        if held:
-            yield frequent()
+            at = pdf.spot.to_numpy(np.int64)
+            part = pdf[bits.value[at >> 6] >> (at & 63) & 1 == 1]
+            sets = shingle_sets(part.text, words)
+            names = set_names(sets)
+            new = [i for i, k in enumerate(names[:, 0].tolist()) if len(sets[i]) and k not in seen]
+            seen.update(names[new, 0].tolist())
+            if len(seen) > 200_000:
+                seen.clear()
+            yield pd.DataFrame({"hi": names[new, 0], "lo": names[new, 1], "items": pd.Series([sets[i].view(np.int64) for i in new], dtype=object)})
 
-    return materialize(docs.select("doc_id", "text").mapInPandas(run, "kind int, doc_id long, n long, set long, bits binary"), "measured")
+    found = docs.where("doc_id is not null").select("text", spot("doc_id").alias("spot")).mapInPandas(lean(run), "hi long, lo long, items array<long>")
+    return found.join(wanted.select("hi", "lo", "n", "node"), ["hi", "lo"]).groupBy("hi", "lo").agg(F.first("node").alias("node"), F.first("n").alias("n"), F.first("items").alias("items")).select("node", "n", "items")
 
 
-def keys(docs: DataFrame, hot: np.ndarray, words: int, percent: int) -> DataFrame:
-    """key, salt, n, set: the prefix of every document. ``hot``: sorted frequent n-grams, ordered last; their keys are salted."""
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+def shared_items(sets: DataFrame, percent: int) -> DataFrame:
+    """node, n, items (that other sets have too) and keys (the prefix in order of frequency), of the sets that can link."""
+    rows = sets.select("node", "n", F.explode("items").alias("key"))
+    counts = rows.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
+    common = rows.join(counts.hint("shuffle_hash"), "key").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("common"))
+    left = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1 - (F.col("n") - F.size("common"))).cast("int")
+    return common.where(left > 0).select("node", "n", F.array_sort("common.key").alias("items"), F.slice("common.key", F.lit(1), left).alias("keys"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        often = shared.value
-        for pdf in batches:
-            out = []
-            for s in shingle_sets(pdf.text, words):
-                if not len(s):
-                    continue
-                name, p = set_name(s), prefix_length(len(s), percent)
-                is_hot = np.zeros(len(s), bool)
-                if len(often):
-                    is_hot = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s
-                first = np.concatenate([np.flatnonzero(~is_hot), np.flatnonzero(is_hot)])[:p]
-                out.append((s[first].view(np.int64), np.where(is_hot[first], 1 + name % SALTS, 0).astype(np.int32), np.full(p, len(s)), np.full(p, name)))
-            if out:
-                yield pd.DataFrame(dict(zip(("key", "salt", "n", "set"), map(np.concatenate, zip(*out)))))
 
-    return docs.select("text").mapInPandas(run, "key long, salt int, n long, set long")
+def groups_of(shared: DataFrame) -> DataFrame:
+    """(node, grp): sets that are joined by common keys, directly or by others."""
+    rows = shared.select("node", F.explode("keys").alias("key"))
+    hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
+    return components(rows.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))).select("node", F.col("component").alias("grp"))
 
 
-def meet(rows: DataFrame, percent: int) -> DataFrame:
-    """Sorts the keys together. pair true: two sets (key, set) of sizes (m, n) that are alone on a key; else a member (set, n) of a key of more."""
+def band_of(n: Column, percent: int) -> Column:
+    return F.floor(F.log(n) / math.log(100 / percent)).cast("int")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in runs(batches, ["key", "salt"]):
-            key, salt, n, name = (pdf[c].to_numpy() for c in ("key", "salt", "n", "set"))
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1]) | (name[1:] != name[:-1])
-            key, salt, n, name = key[new], salt[new], n[new], name[new]
-            at = bounds(key, salt)
-            size = np.diff(at)
-            two = at[:-1][(size == 2) & (salt[at[:-1]] == 0)]
-            two = two[n[two] * 100 >= n[two + 1] * percent]
-            yield pd.DataFrame({"pair": True, "key": name[two], "m": n[two], "set": name[two + 1], "n": n[two + 1]})
-            more = np.repeat((size > 2) | (salt[at[:-1]] > 0), size)
-            yield pd.DataFrame({"pair": False, "key": key[more], "m": 0, "set": name[more], "n": n[more]})
-
-    dealt = rows.repartition("key", "salt").sortWithinPartitions("key", "salt", F.desc("n"), "set")
-    return materialize(dealt.mapInPandas(run, "pair boolean, key long, m long, set long, n long"), "met")
-
-
-def as_pairs(a: Column, m: Column, b: Column, n: Column) -> list[Column]:
-    """The smaller name first."""
-    return [F.least(a, b).alias("a"), F.when(a < b, m).otherwise(n).alias("m"), F.greatest(a, b).alias("b"), F.when(a < b, n).otherwise(m).alias("n")]
-
-
-class Join:
-    """One run of the join over ``docs``; tables that are read more than once are kept in the shared folder."""
-
-    def __init__(self, docs: DataFrame, words: int, percent: int) -> None:
-        self.docs, self.words, self.percent = docs, words, percent
-        spark = docs.sparkSession
-        seen = measure(docs, words)
-        self.all = seen.where("kind = 0").select("doc_id", "n", "set", "bits")
-        total = self.all.count()
-        hot = seen.where("kind = 1").groupBy("set").agg(F.sum("n").alias("n")).where(F.col("n") >= max(3, HOT_SHARE * total / 2))
-        often = np.sort(hot.select("set").toPandas()["set"].to_numpy(np.int64).view(np.uint64))  # at most the mean set size / (HOT_SHARE / 2)
-        named = self.all.where("n > 0 and doc_id is not null")
-        self.nodes = materialize(named.groupBy("set", "n").agg(F.min("doc_id").alias("node"), F.first("bits").alias("bits")), "nodes")
-        met = meet(keys(docs.where("doc_id is not null"), often, words, percent), percent)
-        self.members = met.where("not pair").select("key", "set", "n")
-        self.tried = materialize(met.where("pair").select(*as_pairs(F.col("key"), F.col("m"), F.col("set"), F.col("n"))).distinct(), "pairs")
-        self.links = self.verify(self.tried)
-        self.spark = spark
-
-    def bound(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, m, b, n) that pass the bitmap bound, as nodes x and y."""
-        side = lambda k, s, c: self.nodes.select(F.col("set").alias(k), F.col("n").alias(s), F.col("node").alias(c), F.col("bits").alias(f"{c}_bits"))
-        joined = pairs.join(side("a", "m", "x"), ["a", "m"]).join(side("b", "n", "y"), ["b", "n"])
-        percent = self.percent
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                keep = []
-                for p, q, m, n in zip(pdf.x_bits, pdf.y_bits, pdf.m, pdf.n):
-                    p, q = np.frombuffer(p, np.uint8)[None], np.frombuffer(q, np.uint8)[None]
-                    w = min(p.shape[1], q.shape[1])
-                    keep.append(bool(may_link(differing(fold(p, w), fold(q, w))[0], m, n, percent)))
-                yield pdf.loc[keep, ["x", "y"]]
-
-        return joined.select("x", "y", "x_bits", "y_bits", "m", "n").mapInPandas(run, "x long, y long")
-
-    def sets_of(self, pairs: DataFrame) -> DataFrame:
-        """node, items of the documents that stand in pairs.
-
-        A Bloom filter of fixed size spares most other texts; the join that follows is exact.
-        """
-        ids = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-        spot = F.pmod(F.xxhash64("node"), F.lit(BLOOM_BITS))
-        words = ids.groupBy((spot / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))).alias("v")).toPandas()  # at most BLOOM_BITS / 64 rows
-        bits = np.zeros(BLOOM_BITS // 64, np.int64)
-        bits[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64)
-        shared = self.docs.sparkSession.sparkContext.broadcast(bits)
-        shingle_words = self.words
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                spot = pdf.spot.to_numpy(np.int64)
-                hit = shared.value[spot >> 6] >> (spot & 63) & 1 == 1
-                part = pdf[hit]
-                yield pd.DataFrame({"node": part.node, "items": pd.Series([s.view(np.int64) for s in shingle_sets(part.text, shingle_words)], part.index, object)})
-
-        docs = self.docs.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text").withColumn("spot", spot)
-        found = docs.mapInPandas(run, "node long, items array<long>")
-        return materialize(found.join(ids, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items")), "sets")
-
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """Exact links (x, y) among the pairs (a, m, b, n)."""
-        close = materialize(self.bound(pairs), "close")
-        if close.isEmpty():
-            return close
-        sets = self.sets_of(close)
-        percent = self.percent
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                keep = [linked(np.asarray(p).view(np.uint64), np.asarray(q).view(np.uint64), percent) for p, q in zip(pdf.x_items, pdf.y_items)]
-                yield pdf.loc[keep, ["x", "y"]]
-
-        side = lambda c: sets.select(F.col("node").alias(c), F.col("items").alias(f"{c}_items"))
-        return materialize(close.join(side("x"), "x").join(side("y"), "y").mapInPandas(run, "x long, y long"), "links")
-
-    def labels(self) -> DataFrame:
-        return components(self.links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-
-    def contested(self, labels: DataFrame) -> DataFrame:
-        """Members of the keys that still span several components: key, set, n, node, component."""
-        named = self.nodes.select("set", "n", "node").join(labels, "node", "left").select("set", "n", "node", F.coalesce("component", "node").alias("component"))
-        rows = self.members.join(named, ["set", "n"])
-        open_keys = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        return materialize(rows.join(open_keys, "key"), "contested")
-
-    def hub_pairs(self, rows: DataFrame, turn: int) -> DataFrame:
-        """Every member with its key's hub of its own size band and of the one below."""
-        banded = rows.select("key", "set", "n", "component", band_of(F.col("n"), self.percent).alias("band"))
-        hubs = banded.groupBy("key", "band").agg(F.min_by(F.struct("set", "n", "component"), F.xxhash64("set", F.lit(turn))).alias("hub"))
-        reach = hubs.select("key", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "hub")
-        met = banded.join(reach, ["key", "band"]).where("component <> hub.component")
-        fits = (F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * self.percent)
-        return met.where(fits).select(*as_pairs(F.col("set"), F.col("n"), F.col("hub.set"), F.col("hub.n"))).distinct()
-
-    def tile_pairs(self, rows: DataFrame) -> DataFrame:
-        """Pairs of different components that pass the bitmap bound, from blocks of neighbouring size bands."""
-        percent = self.percent
-        banded = rows.select("key", "set", "n", "component", band_of(F.col("n"), percent).alias("band"))
-        blocks = banded.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        near = lambda d, c: blocks.select("key", (F.col("band") + d).alias("band"), F.col("blocks").alias(c))
-        plan = near(0, "own").join(near(-1, "up"), ["key", "band"], "left").join(near(1, "down"), ["key", "band"], "left").na.fill(0, ["up", "down"])
-        placed = banded.join(plan, ["key", "band"]).withColumn("i", F.pmod(F.xxhash64("set", F.lit(7)), F.col("own")).cast("int"))
-        i, up_to = F.col("i"), lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
-        tile = lambda b, lo, hi, far: F.struct(b.alias("tb"), lo.alias("ti"), hi.alias("tj"), F.lit(far).alias("far"))
-        own = F.transform(up_to("own"), lambda j: tile(F.col("band"), F.least(i, j), F.greatest(i, j), 0))
-        up = F.transform(up_to("up"), lambda j: tile(F.col("band"), i, j, 1))
-        down = F.transform(up_to("down"), lambda j: tile(F.col("band") - 1, j, i, 1))
-        dealt = placed.select("key", "set", "n", "component", F.explode(F.concat(own, up, down)).alias("t")).select("key", "t.*", "set", "n", "component")
-        with_bits = dealt.join(self.nodes.select("set", "n", "bits"), ["set", "n"])
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            names = ["key", "tb", "ti", "tj", "far"]
-            for pdf in runs(batches, names):
-                at = bounds(*(pdf[c].to_numpy() for c in names))
-                n, name, part, bits = (pdf[c].to_numpy() for c in ("n", "set", "component", "bits"))
-                found = [x for s, e in zip(at, at[1:]) if e - s > 1 for x in cross(n[s:e], name[s:e], part[s:e], bits[s:e], percent)]
-                if found:
-                    p, pn, q, qn = (np.concatenate(c) for c in zip(*found))
-                    low = p < q
-                    yield pd.DataFrame({"a": np.where(low, p, q), "m": np.where(low, pn, qn), "b": np.where(low, q, p), "n": np.where(low, qn, pn)}).drop_duplicates()
-
-        tiles = with_bits.repartition("key", "tb", "ti", "tj", "far").sortWithinPartitions("key", "tb", "ti", "tj", "far", "n", "set")
-        return tiles.mapInPandas(run, "a long, m long, b long, n long").distinct()
-
-    def run(self) -> DataFrame:
-        labels = self.labels()
-        for turn in range(ROUNDS):
-            rows = self.contested(labels)
-            if rows.isEmpty():
-                break
-            fresh = materialize(self.hub_pairs(rows, turn).join(self.tried, ["a", "m", "b", "n"], "left_anti"), "pairs")
-            self.tried = self.tried.unionByName(fresh)
-            self.links = self.links.unionByName(self.verify(fresh))
-            labels = self.labels()
-        else:
-            rows = self.contested(labels)
-            if not rows.isEmpty():
-                fresh = materialize(self.tile_pairs(rows).join(self.tried, ["a", "m", "b", "n"], "left_anti"), "pairs")
-                self.links = self.links.unionByName(self.verify(fresh))
-                labels = self.labels()
-        named = self.nodes.select("set", "n", "node").join(labels, "node", "left").select("set", F.col("n").alias("__n"), F.coalesce("component", "node").alias("__c"))
-        out = self.all.join(named, (self.all["set"] == named["set"]) & (self.all["n"] == named["__n"]), "left")
-        return out.select(self.all["doc_id"], self.all["n"].alias("n_shingles"), F.when(self.all["n"] > 0, F.col("__c")).otherwise(self.all["doc_id"]).alias("component_id"))
-
-
-Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
-
-
-def cross(n: np.ndarray, name: np.ndarray, part: np.ndarray, bitmaps: np.ndarray, percent: int) -> Iterator[Found]:
-    """Pairs (set, size, set, size) of one tile, sorted by size, whose components differ and whose bitmaps allow a link."""
-    if (part == part[0]).all():
-        return
-    width = min(map(len, bitmaps))
-    bits = np.vstack([fold(np.frombuffer(b, np.uint8)[None], width) for b in bitmaps]).view(np.uint64)  # widths are multiples of 8
+
+TILE = ["grp", "tb", "ti", "sb", "si"]
+
+
+def first_tiles(members: DataFrame, large: DataFrame) -> DataFrame:
+    """TILE and node: whole groups, and the blocks of ``large`` ones (grp, band, blocks) with hubs of their bands and the next."""
+    small = members.join(large.select("grp").distinct(), "grp", "left_anti").select("grp", *[F.lit(0).alias(c) for c in TILE[1:]], "node")
+    placed = members.join(large, ["grp", "band"])
+    own = placed.select("grp", F.col("band").alias("tb"), block_of("blocks").alias("ti"), "node")
+    hubs = placed.groupBy("grp", "band").agg(F.array(*[F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(HUBS)]).alias("hubs"))
+    near = hubs.select("grp", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"), "hubs").join(large, ["grp", "band"])
+    sent = near.select("grp", F.col("band").alias("tb"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("ti"), "hubs").select("grp", "tb", "ti", F.explode("hubs").alias("node"))
+    blocks = own.unionByName(sent).distinct().select("grp", "tb", "ti", F.lit(0).alias("sb"), F.lit(0).alias("si"), "node")
+    return small.unionByName(blocks)
+
+
+def block_of(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(-1)), F.col(blocks)).cast("int")
+
+
+def block_counts(members: DataFrame, name: str) -> DataFrame:
+    return members.groupBy("grp", "band").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias(name))
+
+
+def second_tiles(members: DataFrame, large: DataFrame) -> DataFrame:
+    """TILE, node and outer: of large groups, the sets outside the largest component (outer) against all blocks of neighbouring bands."""
+    sizes = members.join(large.select("grp").distinct(), "grp", "left_semi").groupBy("grp", "part").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("grp").agg(F.max_by("part", F.struct("c", "part")).alias("main"))
+    open_groups = members.join(main, "grp")
+    outer = open_groups.where("part <> main").drop("main")
+    blocks, outer_blocks = large, block_counts(outer, "cut")
+    spread = lambda df, count, out: df.withColumn(out, F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
+    near = lambda df, out: df.withColumn(out, F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    left = near(outer.join(outer_blocks, ["grp", "band"]).select("grp", "band", block_of("cut").alias("ti"), "node"), "sb")
+    left = spread(left.join(blocks.select("grp", F.col("band").alias("sb"), "blocks"), ["grp", "sb"]), "blocks", "si").select("grp", F.col("band").alias("tb"), "ti", "sb", "si", "node", F.lit(True).alias("outer"))
+    right = near(open_groups.join(blocks, ["grp", "band"]).select("grp", "band", block_of("blocks").alias("si"), "node"), "tb")
+    right = spread(right.join(outer_blocks.select("grp", F.col("band").alias("tb"), "cut"), ["grp", "tb"]), "cut", "ti").select("grp", "tb", "ti", F.col("band").alias("sb"), "si", "node", F.lit(False).alias("outer"))
+    return left.unionByName(right)
+
+
+def bitmaps(items: np.ndarray, row: np.ndarray, rows: int, width: int) -> np.ndarray:
+    """Parities of bucket counts, packed into 64-bit words, a row for each set. ``row``: sorted, the set of each item."""
+    out = np.empty((rows, width // 64), np.uint64)
+    spots = (items >> 20) & (width - 1)
+    step = max(1, (1 << 20) // width)
+    for r in range(0, rows, step):
+        s, e = np.searchsorted(row, [r, r + step])
+        here = min(step, rows - r)
+        odd = np.bincount((row[s:e] - r) * width + spots[s:e], minlength=here * width).reshape(here, width) & 1
+        out[r : r + here] = np.packbits(odd.astype(bool), axis=1).view(np.uint64)
+    return out
+
+
+def may_link(diff: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets that differ in at least ``diff`` items can reach the threshold."""
+    return diff * (100 + percent) <= (na + nb) * (100 - percent)
+
+
+def tile_edges(node: np.ndarray, n: np.ndarray, part: np.ndarray, outer: np.ndarray | None, items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Edges of a spanning forest over the links of one tile between different parts.
+
+    ``n``: whole sizes, ``items``: sorted, those that other sets have too. ``outer``: None to compare all with all, or which sets
+    are compared with the others.
+    """
+    order = np.argsort(n, kind="stable")
+    node, n, label = node[order], n[order], np.unique(part[order], return_inverse=True)[1]
+    outer = None if outer is None else outer[order]
+    if (label == label[0]).all():
+        return []
+    items = [items[i] for i in order]
+    size = np.array([len(x) for x in items])
+    at = np.concatenate([[0], np.cumsum(size)])
+    flat = np.concatenate(items)
+    ids = np.unique(flat, return_inverse=True)[1]
+    width = min(4096, max(64, 1 << (2 * int(np.median(size)) - 1).bit_length()))
+    bits = bitmaps(flat, np.repeat(np.arange(len(n)), size), len(n), width)
+    own = n - size  # no other set has these
     end = np.searchsorted(n, n * 100 // percent, side="right")
+    mark = np.zeros(int(ids.max()) + 1, bool)
+    edges: list[tuple[int, int]] = []
     for i in range(len(n) - 1):
-        j = slice(i + 1, end[i])
-        if j.stop <= j.start:
+        fits = label[i + 1 : end[i]] != label[i]
+        if outer is not None:
+            fits &= outer[i + 1 : end[i]] != outer[i]
+        j = i + 1 + np.flatnonzero(fits)
+        if not len(j):
+            continue
+        diff = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64) + own[j] + own[i]
+        j = j[may_link(diff, n[j], n[i], percent)]
+        if not len(j):
             continue
-        ok = (part[j] != part[i]) & may_link(differing(bits[j], bits[i]), n[j], n[i], percent)
-        k = i + 1 + np.flatnonzero(ok)
-        if len(k):
-            yield np.full(len(k), name[i]), np.full(len(k), n[i]), name[k], n[k]
+        mine = ids[at[i] : at[i + 1]]
+        mark[mine] = True
+        cut = np.concatenate([[0], np.cumsum(size[j])])
+        both = np.add.reduceat(mark[ids[np.arange(cut[-1]) + np.repeat(at[j] - cut[:-1], size[j])]], cut[:-1], dtype=np.int64)
+        mark[mine] = False
+        for k in j[100 * both >= percent * (n[j] + n[i] - both)].tolist():
+            if label[k] != label[i]:
+                edges.append((int(node[i]), int(node[k])))
+                label[label == label[k]] = label[i]
+    return edges
+
+
+def decide(tiles: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """The edges (a, b) of all tiles. ``tiles``: TILE, node, part, outer (null to compare all)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in runs(batches, TILE):
+            at = bounds(*(pdf[c].to_numpy() for c in TILE))
+            node, n, part = (pdf[c].to_numpy(np.int64) for c in ("node", "n", "part"))
+            items, outer = pdf["items"].tolist(), pdf["outer"]
+            found: list[tuple[int, int]] = []
+            for s, e in zip(at.tolist(), at[1:].tolist()):
+                if e - s > 1:
+                    side = None if outer.iloc[s] is None or pd.isna(outer.iloc[s]) else outer.iloc[s:e].to_numpy(bool)
+                    found += tile_edges(node[s:e], n[s:e], part[s:e], side, items[s:e], percent)
+            yield pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    dealt = tiles.join(shared.select("node", "n", "items"), "node").select(*TILE, "node", "n", "part", "outer", "items")
+    return dealt.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(lean(run), "a long, b long")
+
+
+def linked_nodes(shared: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """(node, component) of the nodes with links."""
+    sized = shared.select("node", "n", F.size("items").alias("size"), band_of(F.col("n"), percent).alias("band"))
+    members = scratch.keep(sized.join(groups_of(shared), "node"), "members")
+    long_groups = members.groupBy("grp").agg(F.sum("size").alias("all")).where(F.col("all") > BLOCK).select("grp")
+    large = scratch.keep(block_counts(members.join(long_groups, "grp", "left_semi"), "blocks"), "large")
+    tiles = first_tiles(members, large).select(*TILE, "node", F.col("node").alias("part"), F.lit(None).cast("boolean").alias("outer"))
+    edges = scratch.keep(decide(tiles, shared, percent), "edges1")
+    if not large.isEmpty():
+        parts = members.join(components(edges), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+        parts = scratch.keep(parts, "parts")
+        tiles = second_tiles(parts, large).join(parts.select("node", "part"), "node")
+        edges = edges.unionByName(scratch.keep(decide(tiles, shared, percent), "edges2"))
+    return components(edges)
+
+
+def link_rows(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and group_row (a number that one component has, null for empty sets) of every row."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    docs = docs.select("doc_id", "text")
+    with shuffles_removed(spark):
+        measured = scratch.keep(measure(docs, words, percent), "measured")
+        usable = "n > 0 and doc_id is not null"
+        met = prefix_keys(measured.where(usable)).repartition("key").sortWithinPartitions("key", "name").mapInPandas(lean(credits_of), "name long, credit long")
+        credit = scratch.keep(met.groupBy("name").agg(F.sum("credit").alias("credit")), "credits")
+        rows = scratch.keep(measured.drop("prefix"), "rows")
+        scratch.drop("measured")
+        nodes = rows.where(usable).groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("doc"), F.min("row").alias("node"))
+        nodes = scratch.keep(nodes, "nodes")
+        wanted = scratch.keep(nodes.join(credit, nodes["lo"] == credit["name"]).where(F.col("credit") >= shared_needed(F.col("n"), percent)).select("hi", "lo", "n", "doc", "node"), "wanted")
+        scratch.drop("credits")
+        sets = scratch.keep(sets_of(docs, wanted, words), "sets")
+        shared = scratch.keep(shared_items(sets, percent), "shared")
+        scratch.drop("sets")
+        labels = linked_nodes(shared, scratch, percent)
+        placed = labels.join(wanted.select("node", "hi", "lo", "doc"), "node")
+        least = placed.groupBy("component").agg(F.min("doc").alias("least"))
+        named = nodes.join(placed.join(least, "component").select("hi", "lo", "component", "least"), ["hi", "lo"], "left").select("hi", "lo", F.coalesce("component", "node").alias("group_row"), F.coalesce("least", "doc").alias("component_id"))
+        named = scratch.keep(named, "named")
+        scratch.drop(*[x for x in scratch.paths if x not in ("rows", "named")])
+    joined = rows.where(usable).join(named, ["hi", "lo"]).select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id", "group_row")
+    alone = rows.where(f"not ({usable})").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group_row"))
+    return joined.unionByName(alone)
 
 
 def link_documents(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row."""
-    return Join(docs.select("doc_id", "text"), words, percent).run()
+    return link_rows(docs, words, percent).drop("text_hash", "group_row")
+
+
+def one_per_group(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the document with the smallest id, of repeated rows one.
+
+    Rows without an id stay. All columns are kept; names that begin with two underscores are taken by the join meanwhile.
+    """
+    rows = link_rows(docs, words, percent).where("doc_id is not null")
+    alone = rows.where("group_row is null").select("doc_id", "text_hash")
+    least = rows.where("group_row is not null").groupBy("group_row").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
+    kept = least.unionByName(alone).distinct().toDF("__doc", "__hash")
+    named = docs.where("doc_id is not null").withColumns({"__doc": F.col("doc_id"), "__hash": F.xxhash64("text")})
+    return named.join(kept, ["__doc", "__hash"], "left_semi").dropDuplicates(["__doc", "__hash"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -62,9 +62,10 @@ def brute_join(texts):
     return [(i, len(s), name[i]) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("block", [1024, 7])
-def test_join_equals_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, flush", [(1 << 18, 1_000_000), (150, 40)])
+def test_join_equals_brute_force(spark, monkeypatch, block, flush):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "FLUSH", flush)
     rng = random.Random(5)
     passage = prose(rng, 40)
     texts = list(AWKWARD)
@@ -77,10 +78,43 @@ def test_join_equals_brute_force(spark, monkeypatch, block):
                 copy[rng.randrange(len(copy))] = "edit%d" % rng.randrange(99)
             texts.append(" ".join(copy))
     texts += [passage + " " + prose(rng, 30) for _ in range(25)] + [texts[-1]] * 3
+    base = prose(rng, 60).split()  # one large group, in many blocks
+    for i in range(60):
+        copy = list(base[: rng.randrange(45, 61)])
+        for _ in range(rng.randrange(4)):
+            copy[rng.randrange(len(copy))] = f"e{i}x{rng.randrange(9)}"
+        texts.append(" ".join(copy))
     got = sorted(tuple(r) for r in ngram_join.link_documents(frame(spark, texts)).collect())
     assert got == brute_join(texts)
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_join_of_rows_that_share_an_id(spark, turned):
+    a, b = ([f"{x}{i}" for i in range(40)] for x in "ab")
+    rows = [(1, a), (1, b), (2, [*a, "end"]), (3, [*b, "end"]), (2, ["other", *b[:20]]), (1, a)]
+    rows = [(i, " ".join(t)) for i, t in rows]
+    docs = spark.createDataFrame([(i, t, "x", "y", 1.0) for i, t in (rows[::-1] if turned else rows)], DOCS)
+    got = Counter(tuple(r) for r in ngram_join.link_documents(docs).collect())
+    assert got == Counter({(1, 36, 1): 3, (2, 37, 1): 1, (3, 37, 1): 1, (2, 17, 2): 1})
+    kept = sorted((r.doc_id, r.text) for r in ngram_join.one_per_group(docs).collect())
+    assert kept == sorted([rows[0], rows[1], rows[4]])
+
+
+def test_credits_survive_batch_borders():
+    rng = random.Random(2)
+    rows = sorted({(rng.randrange(12), rng.randrange(4)) for _ in range(30)}) + [(20, 1), (21, 1), (21, 1), (22, 3)]
+    sizes = Counter(k for k, _ in set(rows))
+    want = Counter(n for k, n in set(rows) if sizes[k] > 1) + Counter({7: 5, 2: 1})
+    for cut in (1, 2, 3, 100):
+        frames = [ngram_join.pd.DataFrame({"key": [30, 31, 31], "name": [7, 2, 5], "credit": [5, 0, -1]})]
+        frames = [ngram_join.pd.DataFrame({"key": [k for k, _ in part], "name": [n for _, n in part], "credit": 0}) for part in (rows[i : i + cut] for i in range(0, len(rows), cut))] + frames
+        got = Counter()
+        for out in ngram_join.credits_of(iter(frames)):
+            for n, c in zip(out.name, out.credit):
+                got[n] += c
+        assert got == want
+
+
 def test_join_of_chains_and_empty_table(spark):
     base = [f"w{i}" for i in range(60)]
     texts = [" ".join(base[k : k + 40]) for k in range(0, 20, 2)]
@@ -91,15 +125,14 @@ def test_join_of_chains_and_empty_table(spark):
 
 def test_bitmap_bound_never_excludes_a_link():
     rng = np.random.default_rng(2)
-    for _ in range(200):
-        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64))
-        b = np.unique(np.concatenate([rng.permutation(a)[: int(len(a) * rng.uniform(0.6, 1))], rng.integers(0, 1 << 63, rng.integers(0, 40)).astype(np.uint64)]))
-        p, q = ngram_join.bitmap(a)[None], ngram_join.bitmap(b)[None]
-        w = min(p.shape[1], q.shape[1])
-        bound = ngram_join.differing(ngram_join.fold(p, w), ngram_join.fold(q, w))[0]
-        assert bound <= len(np.setxor1d(a, b))
-        if ngram_join.linked(a, b, 75):
-            assert ngram_join.may_link(bound, len(a), len(b), 75)
+    for width in (64, 256, 1024):
+        for _ in range(70):
+            a = np.unique(rng.integers(-(1 << 63), 1 << 63, rng.integers(1, 400)))
+            b = np.unique(np.concatenate([rng.permutation(a)[: int(len(a) * rng.uniform(0.6, 1))], rng.integers(-(1 << 63), 1 << 63, rng.integers(0, 40))]))
+            p, q = ngram_join.bitmaps(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2, width)
+            bound, both = np.bitwise_count(p ^ q).sum(dtype=np.int64), len(np.intersect1d(a, b))
+            assert bound <= len(np.setxor1d(a, b))
+            assert ngram_join.may_link(bound, len(a), len(b), 75) or 100 * both < 75 * (len(a) + len(b) - both)
 
 
 def test_components_of_a_path(spark):
