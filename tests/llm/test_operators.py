@@ -1,6 +1,7 @@
 """Every operator against a brute-force version or a round trip, and on awkward rows."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -199,6 +200,69 @@ def test_plan_keeps_fillings_that_leave_room(share, fewest):
     assert sum(n for _, n in plan) <= 1.03 * fewest
 
 
+@pytest.mark.parametrize("lengths, fewest, by_best_fit", [
+    ({1366: 3000, 1365: 3000, 1400: 2000, 1300: 2000, 2049: 500, 2047: 500}, 3880, 4167),
+    (dict.fromkeys([700, 811, 902, 1033, 1207, 1333, 1511, 1808, 2111, 2405], 2000), 6950, 7100),
+])
+def test_program_beats_best_fit(lengths, fewest, by_best_fit):
+    made, bound = packing.by_program(lengths, 4096, 100_000)
+    count = Counter()
+    for pattern, n in made:
+        assert sum(pattern) <= 4096
+        count.update({k: m * n for k, m in Counter(pattern).items()})
+    assert count == lengths
+    assert bound <= sum(n for _, n in made) <= fewest < by_best_fit <= sum(n for _, n in packing.best_fit(lengths, 4096))
+    assert packing.plan(lengths) == made
+
+
+def fewest_sequences(lengths, capacity):
+    """By trying, for each piece in turn, every open sequence and a new one."""
+    best = len(lengths)
+
+    def put(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for k in {r: k for k, r in enumerate(rooms) if r >= lengths[i]}.values():
+            put(i + 1, rooms[:k] + [rooms[k] - lengths[i]] + rooms[k + 1 :])
+        put(i + 1, [*rooms, capacity - lengths[i]])
+
+    put(0, [])
+    return best
+
+
+def test_plan_is_the_fewest_on_small_histograms():
+    rng = random.Random(12)
+    over = 0
+    for _ in range(60):
+        lengths = sorted((rng.randrange(3, 30) for _ in range(rng.randrange(1, 10))), reverse=True)
+        made, bound = packing.by_program(Counter(lengths), 40, 20_000)
+        fewest = fewest_sequences(lengths, 40)
+        assert math.ceil(bound - 1e-9) <= fewest
+        got = sum(n for _, n in packing.plan(Counter(lengths), 40))
+        assert fewest <= got <= fewest + 1
+        over += got - fewest
+    assert over <= 3
+
+
+def test_knapsack_keeps_counts():
+    rng = random.Random(13)
+    for _ in range(100):
+        lengths = rng.sample(range(1, 20), rng.randrange(1, 5))
+        counts = [rng.randrange(1, 5) for _ in lengths]
+        prices = np.array([rng.random() for _ in lengths])
+        fill, price = packing.Knapsack(lengths, counts, 30).dearest(prices)
+        assert all(fill[k] <= counts[k] for k in fill) and sum(lengths[k] * m for k, m in fill.items()) <= 30
+        options = [0.0]
+        for many in itertools.product(*(range(c + 1) for c in counts)):
+            if sum(m * x for m, x in zip(many, lengths)) <= 30:
+                options.append(float(np.dot(many, prices)))
+        assert math.isclose(price, max(options)) and math.isclose(price, sum(prices[k] * m for k, m in fill.items()), abs_tol=1e-12)
+
+
 # ---- 3
 
 
