@@ -9,9 +9,8 @@ distributed tables.
 A path's weight is a sum over the n-grams of the text: as a triple's pairs and a pair's words
 have arcs too, an n-gram adds its arc's weight, less what its text costs without that arc, plus
 its failure weight where it is a history. So a text needs one number for each of its n-grams, and fetches
-them by a join. Only n-grams that make up at least ``core`` (words) or ``kept`` (pairs and triples) of
-all training tokens, at most 1 / core and 1 / kept of each, form a broadcast automaton that is
-traversed from left to right instead. The two shares decide where a weight is looked up, not
+them by a join. Only the ``core`` most frequent words and the ``kept`` most frequent pairs and triples form a broadcast
+automaton that is traversed from left to right instead. The two bounds decide where a weight is looked up, not
 what is in the model. Bit filters of fixed size spare the join most n-grams that have no arc; the join is exact
 whatever they let through. A word without an arc at the root costs log10(1 / (N + V + 1)).
 All probabilities of a state add up to one.
@@ -34,15 +33,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from paperloom.llm.common import batched_words, materialize, scratch_path
+from paperloom.llm.common import Scratch, batched_words, lean, materialize, shuffles_removed
 
 FINISH = np.array([0x5EED0F7EE7D06], np.int64)  # the end token's key
 DISCOUNT = 0.5
-FLUSH = 500_000
+FLUSH = 1_000_000
 TURN = {2: 21, 3: 32}  # by how much the first part's key is turned in an n-gram's key
 FILTER_BITS = 27  # a filter has 2 ** FILTER_BITS bits
-SLICES = 2  # by the keys' signs, which halves what the join of the texts' n-grams keeps on disk at a time
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def turned(keys: np.ndarray, n: int) -> np.ndarray:
@@ -122,7 +119,7 @@ class Filter:
 
     BLOCK = 1 << 15  # 64-bit words that the driver gets at a time
 
-    def __init__(self, table: DataFrame) -> None:
+    def __init__(self, table: DataFrame, scratch: Scratch) -> None:
         spot = F.shiftrightunsigned("key", 64 - FILTER_BITS)
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
         words = table.groupBy(F.shiftrightunsigned(spot, 6).cast("int").alias("w")).agg(F.bit_or(bit).alias("v"))
@@ -133,9 +130,11 @@ class Filter:
             bits[pdf["w"].to_numpy() % size] = pdf["v"].to_numpy()
             return pd.DataFrame({"block": [int(pdf["w"].iloc[0]) // size], "bits": [bits.tobytes()]})
 
+        blocks = scratch.keep(words.groupBy((F.col("w") / size).cast("int").alias("block")).applyInPandas(packed, "block int, bits binary"), "filter")
         self.bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-        for r in words.groupBy((F.col("w") / size).cast("int").alias("block")).applyInPandas(packed, "block int, bits binary").toLocalIterator():  # at most 2 ** FILTER_BITS / 64 / BLOCK rows
+        for r in blocks.collect():  # 2 ** FILTER_BITS bits at most
             self.bits[r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(r["bits"], np.int64)
+        scratch.drop("filter")
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         spot = (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).view(np.int64)
@@ -171,7 +170,7 @@ def _counted(texts: DataFrame, n: int, pairs: Broadcast | None = None) -> DataFr
         yield from tally.take()
 
     by = ["key"] if n == 1 else ["a", "b"]
-    return texts.select("text").mapInPandas(run, ", ".join(f"{c} long" for c in [*by, "n"])).groupBy(*by).agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInPandas(lean(run), ", ".join(f"{c} long" for c in [*by, "n"])).groupBy(*by).agg(F.sum("n").alias("n"))
 
 
 def core_ids(keys: np.ndarray, core: np.ndarray) -> np.ndarray:
@@ -257,12 +256,6 @@ def _failure_of(mass: str, lower: str) -> Column:
     return F.log10(rest(mass) / rest(lower))
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Deletes a table of the shared folder that nothing reads any more."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 class Model:
     """The tables of a training set's model.
 
@@ -271,14 +264,10 @@ class Model:
     the automaton of the frequent n-grams and ``added`` are made of them.
     """
 
-    def __init__(self, training: DataFrame, least: int, core: float, kept_share: float) -> None:
+    def __init__(self, training: DataFrame, least: int, core: int, kept_most: int) -> None:
         self.spark = training.sparkSession
-        self.paths: dict[str, str] = {}
-
-        def keep(df: DataFrame, label: str) -> DataFrame:
-            self.paths[label] = path = scratch_path(self.spark, f"lm-{label}")
-            df.write.parquet(path)
-            return self.spark.read.schema(df.schema).parquet(path)
+        self.scratch = Scratch(self.spark)
+        keep, drop = self.scratch.keep, self.scratch.drop
 
         self.words = keep(_counted(training, 1), "words")
         whole = self.words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -292,20 +281,16 @@ class Model:
             rows = often.join(side(shorter, "a", __a="n"), "a").join(side(shorter, "b", __b="n" if n == 2 else "mass"), "b")
             return rows.select("a", "b", "n", ((F.col("n") - DISCOUNT) / F.col("__a")).alias("mass"), lower.alias("lower"))
 
-        def drop(*labels: str) -> None:
-            for label in labels:
-                discard(self.spark, self.paths[label])
-
         def named(rows: DataFrame, n: int) -> DataFrame:
             return rows.withColumn("key", joined_key(F.col("a"), F.col("b"), n))
 
         own = (F.col("__b") + 1) / F.lit(float(self.total + self.distinct + 1))
         self.pairs = named(keep(kept(_counted(training, 2), self.words.where(F.col("n") >= least), 2, own), "pairs"), 2)
         drop("counted2")
-        self.pair_filter = self.spark.sparkContext.broadcast(Filter(self.pairs))
+        self.pair_filter = self.spark.sparkContext.broadcast(Filter(self.pairs, self.scratch))
         self.triples = named(keep(kept(_counted(training, 3, self.pair_filter), self.pairs, 3, F.col("__b")), "triples"), 3)
         drop("counted3")
-        self.triple_filter = self.spark.sparkContext.broadcast(Filter(self.triples))
+        self.triple_filter = self.spark.sparkContext.broadcast(Filter(self.triples, self.scratch))
         fail = lambda rows: rows.groupBy(F.col("a").alias("key")).agg(_failure_of("mass", "lower").alias("fail"))
         self.fail1, self.fail2 = keep(fail(self.pairs), "fail1"), keep(fail(self.triples), "fail2")
         back = lambda fails, on, name: side(fails, on, **{name: "fail"})
@@ -313,52 +298,57 @@ class Model:
         gain = F.log10("mass") - F.log10("lower")
         none = F.lit(None).cast("double")
         plain = F.log10(F.col("n") + 1)
-        self.automaton = self.spark.sparkContext.broadcast(self.hot(core, kept_share))
+        self.automaton = self.spark.sparkContext.broadcast(self.hot(core, kept_most))
         # What an n-gram adds to a text's weight; of words also what they add to the sum of unigrams.
         of_words = self.words.join(back(self.fail1, "key", "__own"), "key", "left").select("key", plain.alias("base"), (plain + zero(F.col("__own"))).alias("add"))
         of_pairs = self.pairs.join(back(self.fail1, "a", "__short"), "a").join(back(self.fail2, "key", "__own"), "key", "left").select("key", none.alias("base"), (gain - F.col("__short") + zero(F.col("__own"))).alias("add"))
         of_triples = self.triples.join(back(self.fail2, "a", "__short"), "a").select("key", none.alias("base"), (gain - F.col("__short")).alias("add"))
-        self.added = keep(of_words, "added1")
+        of_words = keep(of_words, "added1")
         drop("words")
-        self.added = self.added.unionByName(keep(of_pairs, "added2"))
+        of_pairs = keep(of_pairs, "added2")
         drop("pairs", "fail1")
-        self.added = self.added.unionByName(keep(of_triples, "added3"))
+        self.added = [of_words.unionByName(of_pairs), keep(of_triples, "added3")]  # what the two parts of the n-grams of a text add
         drop("triples", "fail2")
 
-    def hot(self, core: float, kept: float) -> tuple[BackoffAutomaton, np.ndarray, np.ndarray]:
-        """The automaton of the frequent n-grams with the whole model's weights, and its words' keys and counts."""
-        often = lambda rows, share: rows.where(F.col("n") >= max(2, math.ceil(share * self.total)))
+    def hot(self, core: int, kept: int) -> tuple[BackoffAutomaton, np.ndarray]:
+        """The automaton of the most frequent n-grams with the whole model's weights, and its words' keys."""
         failing = lambda rows, fails: rows.toPandas().merge(fails.join(F.broadcast(rows.select("key")), "key", "left_semi").toPandas(), on="key", how="left")
-        words = failing(often(self.words, core), self.fail1).sort_values("key")  # at most 1 / core
+        words = failing(self.most(self.words.select("key", "n"), core, 2), self.fail1).sort_values("key")  # ``core`` at most
         keys, n = words["key"].to_numpy(np.int64), words["n"].to_numpy(np.int64)
         size = max(1, len(keys))
         root = np.log10(n + 1.0) - self.unit if len(n) else np.zeros(1)
         one_fail = words["fail"].fillna(0.0).to_numpy(float) if len(n) else np.zeros(1)
-        p = failing(often(self.pairs, kept).select("key", "a", "b", "mass"), self.fail2)  # at most 1 / kept
+        p = failing(self.most(self.pairs, kept, 1).select("key", "a", "b", "mass"), self.fail2)  # ``kept`` at most
         p["first"], p["second"] = (core_ids(p[c].to_numpy(np.int64), keys) for c in "ab")
         p = p[(p["first"] >= 0) & (p["second"] >= 0)]
         p = p.assign(arc=p["first"] * size + p["second"]).sort_values("arc").reset_index(drop=True)
         place = pd.Series(p.index, p["key"])
-        t = often(self.triples, kept).select("a", "b", "mass").toPandas()  # at most 1 / kept
+        t = self.most(self.triples, kept, 1).select("a", "b", "mass").toPandas()  # ``kept`` at most
         t = t[t["a"].isin(place.index) & t["b"].isin(place.index)]
         t = t.assign(arc=place.reindex(t["a"]).to_numpy(np.int64) * size + p["second"].to_numpy(np.int64)[place.reindex(t["b"]).to_numpy(np.int64)]).sort_values("arc")
         as_log = lambda x: np.log10(x.to_numpy(float))
-        return BackoffAutomaton(size, root, p["arc"].to_numpy(np.int64), as_log(p["mass"]), one_fail, t["arc"].to_numpy(np.int64), as_log(t["mass"]), p["fail"].fillna(0.0).to_numpy(float)), keys, n
+        return BackoffAutomaton(size, root, p["arc"].to_numpy(np.int64), as_log(p["mass"]), one_fail, t["arc"].to_numpy(np.int64), as_log(t["mass"]), p["fail"].fillna(0.0).to_numpy(float)), keys
+
+    def most(self, rows: DataFrame, limit: int, least: int) -> DataFrame:
+        """The rows of the least count from which on there are ``limit`` at most."""
+        sizes = rows.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("c")).toPandas().sort_values("n", ascending=False)  # 2 ** 20 rows at most
+        enough = sizes["n"][sizes["c"].cumsum() <= limit]
+        return rows.where(F.col("n") >= max(least, int(enough.min()) if len(enough) else 1 << 62))
 
 
-def score(docs: DataFrame, training: DataFrame, core: float = 1e-6, kept: float = 1e-5, least: int = 2) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, core: int = 1_000_000, kept: int = 500_000, least: int = 2) -> DataFrame:
     """All columns of ``docs`` but its text, with n_tokens, n_known, train_tokens, base_score and score.
 
-    ``training`` holds the texts to learn from; pairs and triples of at least ``least`` occurrences (2 or more) count. ``core``
-    and ``kept`` are the shares from which words, and pairs and triples, are broadcast. Log-probabilities are decimal.
+    ``training`` holds the texts to learn from; pairs and triples of at least ``least`` occurrences (2 or more) count. ``core`` words
+    and ``kept`` pairs and triples, the most frequent, are broadcast at most. Log-probabilities are decimal. Columns of ``docs`` that
+    have the name of a result are replaced.
     """
     spark = docs.sparkSession
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")  # each table is written once, so its shuffle files need not outlive it
-    try:
-        return _scored(spark, docs, Model(training, least, core, kept))
-    finally:
-        spark.conf.set(CLEANUP, before)
+    with shuffles_removed(spark):  # each table is written once
+        return _scored(spark, docs.drop(*RESULTS), Model(training, least, core, kept))
+
+
+RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
@@ -370,8 +360,8 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     made = "n_tokens long, __in_core long, __base double, __score double"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fsm, core, n_of = automaton.value
-        log_n = np.append(np.log10(n_of + 1.0), 0.0)
+        fsm, core = automaton.value
+        own_cost = np.append(fsm.root, -unit)
         for pdf in batches:
             if not len(pdf):
                 continue
@@ -381,13 +371,13 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
             summed = lambda x: np.add.reduceat(x, places)
             pdf["n_tokens"] = summed(np.ones(len(ids), np.int64))
             pdf["__in_core"] = summed(inside.astype(np.int64))
-            pdf["__base"] = summed(log_n[ids]) - unit * pdf["n_tokens"]
+            pdf["__base"] = summed(own_cost[ids])
             pdf["__score"] = summed(np.where(inside, 0.0, -unit) + fsm.weights(ids, start)[0])
             yield pdf
 
     def asked(part: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The n-grams of each text, of one slice of the keys, whose weight is not broadcast."""
-        fsm, core, _ = automaton.value
+        """The words and pairs (part 0) or triples (part 1) of each text whose weight is not broadcast."""
+        fsm, core = automaton.value
         for pdf in batches:
             if not len(pdf):
                 continue
@@ -397,27 +387,29 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
             _, arc2, arc3 = fsm.weights(ids, start)
             pairs = ending(tokens, 2)
             may2 = ~start & pair_filter.value.has(pairs)
-            triples = ending(pairs, 3)
-            may3 = may2 & np.append(False, may2[:-1])
-            may3[may3] = triple_filter.value.has(triples[may3])
-            for keys, wanted in ((tokens, ids < 0), (pairs, may2 & (arc2 < 0)), (triples, may3 & (arc3 < 0))):
-                at = np.flatnonzero(wanted & ((keys < 0) == part))
+            if part == 0:
+                wanted = ((tokens, ids < 0), (pairs, may2 & (arc2 < 0)))
+            else:
+                triples = ending(pairs, 3)
+                may3 = may2 & np.append(False, may2[:-1]) & (arc3 < 0)
+                may3[may3] = triple_filter.value.has(triples[may3])
+                wanted = ((triples, may3),)
+            for keys, at in wanted:
+                at = np.flatnonzero(at)
                 for i in range(0, len(at), 200_000):
                     yield pd.DataFrame({"__text": text[at[i : i + 200_000]], "key": keys[at[i : i + 200_000]]})
 
     schema = plain.drop("text").schema
     for f in StructType.fromDDL(made):
         schema = schema.add(f)
-    parts = materialize(plain.mapInPandas(run, schema), "traversed")
-    # An n-gram that is asked for has a small share of the training tokens, so in texts like them no key of this join is hot.
+    parts = materialize(plain.mapInPandas(lean(run), schema), "traversed")
     slices = []
-    for part in range(SLICES):
-        texts = plain.select("text", "__text").mapInPandas(partial(asked, part), "__text long, key long")
-        weights = model.added.where((F.col("key") < 0) == F.lit(part == 1)).hint("shuffle_hash")
+    for part in (0, 1):  # so that the join of the texts' n-grams keeps half on disk at a time
+        texts = plain.select("text", "__text").mapInPandas(lean(partial(asked, part)), "__text long, key long")
+        weights = model.added[part].hint("shuffle_hash")
         found = texts.join(weights, "key").groupBy("__text").agg(F.sum("add").alias("__add"), F.coalesce(F.sum("base"), F.lit(0.0)).alias("__plain"), F.count("base").alias("__hits"))
         slices.append(materialize(found, "fetched"))
-    for n in (1, 2, 3):
-        discard(spark, model.paths[f"added{n}"])
+        model.scratch.drop(*(("added1", "added2") if part == 0 else ("added3",)))
     copies = parts.groupBy("__text").agg(F.count("*").alias("__copies"))  # equal texts have asked together
     found = reduce(DataFrame.unionByName, slices).groupBy("__text").agg(*[F.sum(c).alias(c) for c in ("__add", "__plain", "__hits")])
     known = found.join(copies, "__text").select("__text", *[(F.col(c) / F.col("__copies")).alias(c) for c in ("__add", "__plain")], (F.col("__hits") / F.col("__copies")).cast("long").alias("__hits"))
