@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import time
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from paperloom.model import TRACES
 
 OBS_SLO = {"p95_ms": 30000.0, "error_rate": 0.05, "cost_per_request": 0.05}
 API_SLO = {"p95_ms": 5000.0, "error_rate": 0.02, "cost_per_request": 0.05}
@@ -81,3 +88,61 @@ def cost(model: Column, tokens: Column, prices: dict[str, float]) -> Column:
 def nearest_rank(column: str, p: float) -> Column:
     """Nearest-rank percentile as an aggregate."""
     return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {column})")
+
+
+class Counters:
+    """Monotonic counters by name, on the driver."""
+
+    def __init__(self) -> None:
+        self._n: dict[str, int] = {}
+
+    def add(self, name: str, by: int = 1) -> None:
+        self._n[name] = self.value(name) + by
+
+    def value(self, name: str) -> int:
+        return self._n.get(name, 0)
+
+    def snapshot(self) -> dict[str, int]:
+        return dict(self._n)
+
+
+class Tracer:
+    """Records spans of driver-side work as rows of ``SPANS``; ``clock`` gives seconds."""
+
+    def __init__(self, doc_id: str, trace_id: str | None = None, clock: Callable[[], float] = time.perf_counter) -> None:
+        self.trace_id, self.doc_id, self.clock = trace_id or uuid.uuid4().hex, doc_id, clock
+        self.rows: list[dict] = []
+
+    @contextmanager
+    def span(self, name: str) -> Iterator[dict]:
+        """Times what runs inside; an exception is noted by its class and goes on."""
+        row = {"name": name, "duration_ms": 0.0, "status": "ok", "error_type": None, "tokens": 0, "cost_usd": 0.0}
+        began = self.clock()
+        try:
+            yield row
+        except BaseException as e:
+            row |= {"status": "timeout" if isinstance(e, TimeoutError) else "error", "error_type": "TimeoutError" if isinstance(e, TimeoutError) else type(e).__name__}
+            raise
+        finally:
+            row["duration_ms"] = (self.clock() - began) * 1000
+            self.rows.append(row)
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(self.trace_id, self.doc_id, self.rows)], TRACES)
+
+
+def stage_lines(stages: DataFrame) -> DataFrame:
+    """name, line: a dashboard's line for each row of ``stage_metrics``."""
+    return stages.select("name", F.format_string("  %-14s p50=%.1f  p95=%.1f  err=%.3f  n=%d", "name", "p50_ms", "p95_ms", "error_rate", "count").alias("line"))
+
+
+def slo_lines(checks: DataFrame) -> DataFrame:
+    """metric, line of the rows of ``check_slo``."""
+    mark = F.when(F.col("ok"), "ok").otherwise("BREACH")
+    return checks.select("metric", F.format_string("  %-18s %.4f <= %.4f  [%s]", "metric", "value", "threshold", mark).alias("line"))
+
+
+def span_lines(spans: DataFrame) -> DataFrame:
+    """trace_id, line of each span."""
+    state = F.when(F.col("error_type").isNull(), F.col("status")).otherwise(F.concat_ws(":", "status", "error_type"))
+    return spans.select("trace_id", F.format_string("  %-14s %.1fms tokens=%d $%.5f [%s]", "name", "duration_ms", "tokens", "cost_usd", state).alias("line"))

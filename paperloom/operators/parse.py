@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paperloom.functions.text import py_strip
 from paperloom.model import no_bbox
+from paperloom.operators.pii import redact_blocks
 
 COVERAGE_FROM = 0.8
 
@@ -167,3 +168,8 @@ def routing_summary(analysis: DataFrame) -> DataFrame:
         F.sum("n_content_loss_pages").alias("total_content_loss_pages"), F.sum("n_degraded_pages").alias("total_degraded_pages"),
         F.count_if(F.col("n_content_loss_pages") > 0).alias("n_docs_content_loss"), F.count_if(F.col("n_degraded_pages") > 0).alias("n_docs_degraded"),
     )
+
+
+def ingest(blocks: DataFrame, redact: bool = True) -> DataFrame:
+    """Parsed blocks as they enter the store: personal data is masked unless that is switched off."""
+    return redact_blocks(blocks) if redact else blocks

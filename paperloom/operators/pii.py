@@ -17,20 +17,27 @@ PATTERNS = {
     "phone": r"(?<!\d)(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b",
 }
 #: Words before a dotted quad that make it a section number.
+#: Words after which a dotted number names a section.
 SECTION_WORDS = (
-    "section sections sec § article articles art clause clauses exhibit schedule appendix annex "
-    "attachment paragraph para no item part figure fig table version v rev"
-).split()
+    "section", "sections", "sec", "§", "article", "articles", "art", "clause", "clauses", "exhibit", "schedule", "appendix", "annex",
+    "attachment", "paragraph", "para", "no", "item", "part", "figure", "fig", "table", "version", "v", "rev",
+)
 MATCHES = "array<struct<type:string,value:string,start:int,end:int>>"
 _COMPILED = {k: re.compile(p) for k, p in PATTERNS.items()}
-_WORD_BEFORE = re.compile(r"([A-Za-z§]+)\.?\s*$")
 
 
 def _is_ip(text: str, m: re.Match) -> bool:
     if any(int(octet) > 255 for octet in m[0].split(".")):
         return False
-    before = _WORD_BEFORE.search(text[max(0, m.start() - 80) : m.start()].rstrip())
-    return not (before and before[1].lower() in SECTION_WORDS)
+    end = m.start()
+    while end and text[end - 1].isspace():
+        end -= 1
+    if end and text[end - 1] == ".":
+        end -= 1
+    begin = end
+    while begin and (text[begin - 1] == "§" or text[begin - 1].isascii() and text[begin - 1].isalpha()):
+        begin -= 1
+    return text[begin:end].lower() not in SECTION_WORDS
 
 
 def find(text: str, types: tuple[str, ...]) -> list[tuple[int, int, str]]:

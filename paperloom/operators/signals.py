@@ -43,6 +43,20 @@ def contains_value(value: Column, text: Column) -> Column:
     return (value != "") & F.contains(F.concat(sp, text, sp), F.concat(sp, value, sp))
 
 
+def find_values(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, item_id) of the documents (doc_id, t) that hold a value (item_id, v), both canonical.
+
+    A value is looked up by the rarest of its words: only documents with that word are tested.
+    """
+    asked = wanted.select("item_id", "v", F.explode(F.array_distinct(F.split("v", " "))).alias("word"))
+    words = docs.select("doc_id", F.explode(F.array_distinct(F.split("t", " "))).alias("word")).join(asked.select("word").distinct(), "word", "left_semi")
+    seen = words.groupBy("word").agg(F.count("*").alias("df"))
+    rare = asked.join(seen, "word").groupBy("item_id", "v").agg(F.min_by("word", F.struct("df", "word")).alias("word"), F.count("*").alias("__found"))
+    whole = rare.where(F.col("__found") == F.size(F.array_distinct(F.split("v", " ")))).drop("__found")  # a word that no document has rules a value out
+    near = words.join(whole, "word").select("doc_id", "item_id", "v")
+    return near.join(docs.select("doc_id", "t"), "doc_id").where(contains_value(F.col("v"), F.col("t"))).select("doc_id", "item_id")
+
+
 def critical_tokens(text: Column) -> Column:
     """Distinct canonical tokens with a digit."""
     return F.array_distinct(F.filter(F.split(text, " "), lambda t: t.rlike(r"\d")))
@@ -285,3 +299,31 @@ def detect_signatures(blocks: DataFrame, closing: str = CLOSING, sigword: str =
     any_ = F.col("closing") | F.col("sigword") | F.col("sigblock")
     out = all_.withColumn("confidence", F.when(any_, F.round(1 - unsigned, 4)).otherwise(NO_SIGNAL))
     return out.withColumn("signed", any_ & (F.col("confidence") >= SIGNED_FROM))
+
+
+def page_boxes(blocks: DataFrame, box_dpi: float = 300.0, render_dpi: float = 300.0) -> DataFrame:
+    """doc_id, block_id, page, x0, y0, x1, y1 in pixels of the rendering, of blocks that have a box."""
+    at = lambda c: (F.col(f"bbox.{c}") * (render_dpi / box_dpi)).alias(c)
+    return blocks.where("bbox is not null").select("doc_id", "block_id", "bbox.page", *[at(c) for c in ("x0", "y0", "x1", "y1")])
+
+
+def page_numbers(blocks: DataFrame) -> DataFrame:
+    """doc_id, pages: the pages with boxes, in order."""
+    return blocks.where("bbox is not null").groupBy("doc_id").agg(F.array_sort(F.collect_set("bbox.page")).alias("pages"))
+
+
+REGION = "struct<label:string,score:double,box:array<double>>"
+
+
+def detected_regions(pages: DataFrame) -> DataFrame:
+    """doc_id, page, label, score, box from a detector's ``boxes`` (array of label, score, coordinate); an unnamed one is a region of score 0."""
+    b = F.col("b")
+    rows = pages.select("doc_id", "page", F.explode("boxes").alias("b"))
+    return rows.select("doc_id", "page", F.coalesce(b["label"], F.lit("region")).alias("label"), F.coalesce(b["score"].cast("double"), F.lit(0.0)).alias("score"), b["coordinate"].cast("array<double>").alias("box"))
+
+
+def legacy_regions(pages: DataFrame) -> DataFrame:
+    """The same from the older detector's ``items`` (array of type, bbox), which has no scores; items without four numbers are left out."""
+    b = F.col("b")
+    rows = pages.select("doc_id", "page", F.explode("items").alias("b")).where(F.size(b["bbox"]) == 4)
+    return rows.select("doc_id", "page", F.coalesce(b["type"], F.lit("region")).alias("label"), F.lit(1.0).alias("score"), b["bbox"].cast("array<double>").alias("box"))

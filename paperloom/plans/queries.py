@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.functions import legal, text as T
 from paperloom.model import no_bbox, paragraphs
-from paperloom.operators import agent, chunk, clean, definitions, dirt, extract, metrics, observe, parse, pii, quality, report, retrieval, security, signals, verify, versioning, verticals
+from paperloom.operators import agent, chunk, clean, constrained, definitions, dirt, evaluate, extract, healthcheck, metrics, observe, parse, pii, quality, report, retrieval, security, signals, verify, versioning, verticals
 from paperloom.plans import synthetic as S
+from paperloom.sources import files
 from paperloom.streaming import traces as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,8 +103,9 @@ def dedupe_blocks(spark, sf_dir):
 @query("SELECT doc_id, NOT regexp_matches(text, '^[\\x00-\\x7F]*$') AS had_accents, true AS restored FROM documents WHERE text IS NOT NULL")
 def mojibake_round_trip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
-    bad = F.replace(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1"), F.lit(" "), F.lit("Â "))
-    return docs.select("doc_id", (~F.col("text").rlike(r"^[\x00-\x7F]*$")).alias("had_accents"), (T.fix_mojibake(bad) == F.col("text")).alias("restored"))
+    whole = paragraphs(docs, r"(?!)")  # one block a document
+    dirty = dirt.inject_mojibake(whole, seed=1).select("doc_id", F.col("text").alias("bad"))
+    return docs.join(dirty, "doc_id").select("doc_id", (~F.col("text").rlike(r"^[\x00-\x7F]*$")).alias("had_accents"), (T.fix_mojibake(F.col("bad")) == F.col("text")).alias("restored"))
 
 
 # ---- quality
@@ -288,13 +290,13 @@ def ensemble_facts(spark, sf_dir):
     facts = extract.contract_facts(contract_blocks(spark, sf_dir))
     lost = (F.col("field") == "governing_law") & (F.col("doc_id").cast("long") % 2 == 0)
     rule = facts.withColumns({"value": F.when(lost, "").otherwise(F.col("value")), "backend": F.lit("rule")})
-    return verify.ensemble(rule.unionByName(facts.withColumn("backend", F.lit("other"))), {"total_value": "other"}, "rule").select("doc_id", "field", F.when((F.col("value") == "") & (F.col("backend") != "rule"), "rule").otherwise(F.col("backend")).alias("backend"), "value")
+    return verify.ensemble(rule.unionByName(facts.withColumn("backend", F.lit("other"))), {"total_value": "other"}, "rule").select("doc_id", "field", "backend", "value")
 
 
 FIELD_SUMS = f"""{S.PARTIES_SQL}, s AS (
-  SELECT 'counterparty' AS field, 'medium' AS risk, true AS gold, true AS filled, true AS ok FROM p UNION ALL SELECT 'effective_date', 'low', true, true, true FROM p
-  UNION ALL SELECT 'governing_law', 'medium', true, true, doc_id::BIGINT % 7 <> 0 FROM p UNION ALL SELECT 'total_value', 'high', true, true, true FROM p
-  UNION ALL SELECT 'termination_notice_days', 'high', true, true, true FROM p UNION ALL SELECT 'auto_renewal', 'high', renews, renews, renews FROM p
+  SELECT 'counterparty' AS field, 'medium' AS risk, true AS gold, true AS filled, true AS ok, doc_id FROM p UNION ALL SELECT 'effective_date', 'low', true, true, true, doc_id FROM p
+  UNION ALL SELECT 'governing_law', 'medium', true, true, doc_id::BIGINT % 7 <> 0, doc_id FROM p UNION ALL SELECT 'total_value', 'high', true, true, true, doc_id FROM p
+  UNION ALL SELECT 'termination_notice_days', 'high', true, true, true, doc_id FROM p UNION ALL SELECT 'auto_renewal', 'high', renews, renews, renews, doc_id FROM p
 )"""
 
 
@@ -375,10 +377,36 @@ def manifest_diff(spark, sf_dir):
     return versioning.diff(docs.where("doc_id % 3 <> 1"), docs.where("doc_id % 3 <> 0"))
 
 
-@query()
+U = "('0x' || left(md5('0:' || {0} || ':' || doc_id), 8))::BIGINT / 4294967296.0::DOUBLE"
+TIMES = "len(list_filter([" + ", ".join(repr(x) for x in metrics.POISSON) + "], lambda c: u >= c))"
+F1_SQL = "round(coalesce(2 * (tp / predicted) * (tp / gold) / nullif(tp / predicted + tp / gold, 0), 0), 9)"
+
+
+@query(f"""
+WITH {FIELD_SUMS}, d AS (SELECT DISTINCT doc_id FROM p), w AS (SELECT doc_id, b, {TIMES} AS w FROM (SELECT doc_id, b, {U.format('b')} AS u FROM d, range(40) t(b))),
+f AS (SELECT b, field, sum(w * ok::INT) AS tp, sum(w * filled::INT) AS predicted, sum(w * gold::INT) AS gold FROM s JOIN w USING (doc_id) GROUP BY b, field),
+g AS (SELECT b, sum(tp) AS tp, sum(predicted) AS predicted, sum(gold) AS gold FROM f WHERE gold > 0 GROUP BY b), x AS (SELECT {F1_SQL} AS f1 FROM g),
+o AS (SELECT sum(ok::INT) AS tp, sum(filled::INT) AS predicted, sum(gold::INT) AS gold FROM s)
+SELECT (SELECT {F1_SQL} FROM o) AS point, quantile_disc(f1, 0.025) AS lo, quantile_disc(f1, 0.975) AS hi, 40::INT AS n_boot FROM x
+""")
 def bootstrap_f1(spark, sf_dir):
-    rows = scored_rows(spark, sf_dir).where(F.col("doc_id").cast("long") < 40)
-    return metrics.bootstrap_f1(rows, n_boot=200)
+    out = metrics.bootstrap_f1(scored_rows(spark, sf_dir), n_boot=40)
+    return out.withColumns({c: F.round(c, 9) for c in ("point", "lo", "hi")})
+
+
+@query(f"""
+WITH {FIELD_SUMS}, r AS (SELECT doc_id, field, 0 AS side, ok, filled, gold FROM s UNION ALL SELECT doc_id, field, 1, ok AND NOT (field = 'total_value' AND doc_id::BIGINT % 500 = 3), filled, gold FROM s),
+d AS (SELECT DISTINCT doc_id FROM p), w AS (SELECT doc_id, t AS turn, CASE WHEN t >= 0 THEN ({U.format('t')} >= 0.5)::INT ELSE 0 END AS swap FROM d, range(-1, 20) x(t)),
+f AS (SELECT turn, (side + swap) % 2 AS side, field, sum(ok::INT) AS tp, sum(filled::INT) AS predicted, sum(gold::INT) AS gold FROM r JOIN w USING (doc_id) GROUP BY ALL),
+g AS (SELECT turn, side, sum(tp) AS tp, sum(predicted) AS predicted, sum(gold) AS gold FROM f WHERE gold > 0 GROUP BY turn, side),
+y AS (SELECT turn, sum(CASE WHEN side = 0 THEN f1 ELSE -f1 END) AS d FROM (SELECT turn, side, 2 * (tp / predicted) * (tp / gold) / (tp / predicted + tp / gold) AS f1 FROM g) GROUP BY turn),
+o AS (SELECT d AS seen FROM y WHERE turn = -1)
+SELECT round(seen, 9) AS observed_diff, (1 + count(*) FILTER (WHERE round(abs(d), 12) >= round(abs(seen), 12))) / 21.0::DOUBLE AS p_value, 20::INT AS n_perm FROM y, o WHERE turn >= 0 GROUP BY seen
+""")
+def permutation_test(spark, sf_dir):
+    rows = scored_rows(spark, sf_dir)
+    worse = rows.withColumn("correct", F.col("correct") & ~((F.col("field") == "total_value") & (F.col("doc_id").cast("long") % 500 == 3)))
+    return metrics.permutation_test(rows, worse, n_perm=20).withColumn("observed_diff", F.round("observed_diff", 9))
 
 
 # ---- reports
@@ -597,7 +625,7 @@ def markdown_blocks(spark, sf_dir):
 def contains_value(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", T.canon(F.col("text")).alias("t"))
     test = table(spark, sf_dir, "benchmark").select("item_id", T.canon(F.col("text")).alias("v"))
-    return docs.crossJoin(F.broadcast(test)).where(signals.contains_value(F.col("v"), F.col("t"))).select("doc_id", "item_id")  # a stated query set
+    return signals.find_values(docs, test.where("v <> ''"))
 
 
 @query(f"""
@@ -807,12 +835,296 @@ def dirtify_fixed_blocks(spark, sf_dir):
     return dirty.groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-@query()
+# ---- replies of models, seams and agents
+
+
+@query(f"WITH {LINES} SELECT doc_id::VARCHAR AS doc_id, md5(string_agg('[#/b/' || pos || '] ' || text, chr(10) || chr(10) ORDER BY pos)) AS context_md5 FROM lines GROUP BY doc_id")
+def build_context(spark, sf_dir):
+    return constrained.context(lines(spark, sf_dir)).select(F.col("doc_id").cast("string").alias("doc_id"), F.md5("context").alias("context_md5"))
+
+
+#: What a model might answer about order n, by n modulo 9; ``{d}`` stands for the date's year, ``{b}`` for the block.
+GOOD = '{"effective_date": {"value": "{d}", "source_block_id": "{b}", "confidence": 0.5}, "total_value": null}'
+ANSWERS = [
+    GOOD, "```json\n" + GOOD + "\n```", '{"ContractFacts": ' + GOOD + "}", '{"effective_date": {"clause": {"value": "{d}", "source_block_id": "{b}", "confidence": "0.5"}}}', GOOD.replace("{b}", "/b/1"),
+    "The year is {d}.", '{"effective_date": "{d}"}', GOOD.replace("0.5", "1.5"), "[1, 2]",
+]
+REPLY_FIELDS = ("effective_date", "total_value")
+REPLIES_SQL = """r AS (SELECT o_orderkey::VARCHAR AS doc_id, year(o_orderdate)::VARCHAR AS d, o_orderkey % 9 AS v FROM orders)"""
+
+
+def read_orders(spark, sf_dir):
+    answer = F.element_at(F.array(*[F.lit(a) for a in ANSWERS]), (F.col("o_orderkey") % len(ANSWERS) + 1).cast("int"))
+    reply = F.replace(F.replace(answer, F.lit("{d}"), F.year("o_orderdate").cast("string")), F.lit("{b}"), F.lit("#/b/1"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), reply.alias("reply"), F.array(F.lit("#/b/0"), F.lit("#/b/1")).alias("block_ids"))
+    return constrained.read_replies(rows, REPLY_FIELDS)
+
+
+@query(f"""
+WITH {REPLIES_SQL}
+SELECT doc_id, 'effective_date' AS field, CASE WHEN v < 5 THEN d ELSE '' END AS value, CASE WHEN v < 5 THEN '#/b/1' END AS source_block_id, CASE WHEN v < 5 THEN 0.5 ELSE 0 END::DOUBLE AS confidence FROM r
+UNION ALL SELECT doc_id, 'total_value', '', NULL, 0.0 FROM r
+""")
+def constrained_facts(spark, sf_dir):
+    return constrained.facts_of(read_orders(spark, sf_dir))
+
+
+@query(f"""
+WITH {REPLIES_SQL}, k(v, repair) AS (VALUES (1, 'fence_strip'), (2, 'unwrap_root'), (3, 'unwrap_field'), (4, 'hash_prefix'), (5, 'payload_invalid'), (6, 'field_dropped'), (7, 'field_dropped'), (8, 'payload_invalid'))
+SELECT repair, count(*) AS n FROM r JOIN k USING (v) GROUP BY repair
+""")
+def constrained_repairs(spark, sf_dir):
+    return constrained.repair_counts(read_orders(spark, sf_dir))
+
+
+def word_count(text):
+    if not text:
+        raise ValueError("empty")
+    if len(text) > 5000:
+        raise OverflowError("long")
+    return {"quality_score": 1.0 / len(text.split(" ")), "needs_review": len(text) < 500}
+
+
+@query("""
+WITH d AS (SELECT doc_id, text, CASE WHEN text IS NULL OR text = '' THEN 'ValueError: empty' WHEN length(text) > 5000 THEN 'OverflowError: long' END AS reason FROM documents)
+SELECT doc_id, reason, CASE WHEN reason IS NULL THEN 1.0 / len(string_split(text, ' ')) END::DOUBLE AS quality_score, CASE WHEN reason IS NULL THEN length(text) < 500 END AS needs_review FROM d
+""")
+def healthcheck_rows(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return healthcheck.process(docs, word_count, "text", "struct<quality_score:double,needs_review:boolean>", timeout=None).select("doc_id", "reason", "outcome.*")
+
+
+@query("""
+WITH d AS (SELECT doc_id, text, text IS NULL OR text = '' OR length(text) > 5000 AS bad FROM documents)
+SELECT count(*) FILTER (WHERE NOT bad) AS n_docs, count(*) FILTER (WHERE bad) AS n_failures, round(avg(1.0::DOUBLE / len(string_split(text, ' '))) FILTER (WHERE NOT bad), 9) AS mean_quality,
+       min(1.0::DOUBLE / len(string_split(text, ' '))) FILTER (WHERE NOT bad) AS min_quality, count(*) FILTER (WHERE NOT bad AND length(text) < 500) AS needs_review
+FROM d
+""")
+def healthcheck_summary(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = healthcheck.process(docs, word_count, "text", "struct<quality_score:double,needs_review:boolean>", timeout=None)
+    return healthcheck.summary(done).withColumn("mean_quality", F.round("mean_quality", 9))
+
+
+@query("""
+WITH n AS (SELECT p_partkey AS k, p_partkey // 5 AS stem, ['a.docx', 'b.docx', 'b.pdf', 'b.pdf', 'c.txt'][(p_partkey % 5 + 1)::INT] AS tail FROM part)
+SELECT stem || '-' || substr(tail, 1, 1) || substr(tail, 2) AS filename, k, CASE k % 5 WHEN 0 THEN stem || '-a.html' WHEN 1 THEN stem || '-b.html' WHEN 2 THEN stem || '-b.pdf.html' WHEN 3 THEN stem || '-b-2.html' ELSE stem || '-c.html' END AS report
+FROM n WHERE stem > 0 AND stem < (SELECT max(p_partkey) // 5 FROM part)
+""")
+def report_names(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.expr("p_partkey div 5").alias("stem"))
+    tail = F.element_at(F.array(*[F.lit(t) for t in ("a.docx", "b.docx", "b.pdf", "b.pdf", "c.txt")]), (F.col("k") % 5 + 1).cast("int"))
+    last = table(spark, sf_dir, "part").agg(F.expr("max(p_partkey) div 5").alias("last"))
+    whole = part.where("stem > 0").crossJoin(F.broadcast(last)).where("stem < last")  # one row
+    named = healthcheck.report_names(whole.withColumn("filename", F.concat(F.col("stem").cast("string"), F.lit("-"), tail)).withColumn("__k", F.col("k")))
+    return named.select("filename", "k", "report")
+
+
+def next_call(task, steps):
+    kind = task["o_orderkey"] % 5
+    if kind == 1 and steps:
+        return "nothing", None
+    if kind == 2:
+        return "fail", task["o_orderkey"]
+    if kind == 3:
+        return "half", task["o_orderkey"]
+    return ("half", task["o_orderkey"]) if len(steps) < 2 else None
+
+
+def failing(value):
+    raise KeyError(value)
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (1, 2) THEN 'failed' ELSE 'answered' END AS status, CASE o_orderkey % 5 WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN 10 ELSE 2 END::INT AS n_steps,
+       CASE o_orderkey % 5 WHEN 1 THEN 'unknown_tool' WHEN 2 THEN o_orderkey::VARCHAR END AS error, CASE WHEN o_orderkey % 5 NOT IN (1, 2) THEN (o_orderkey // 2)::VARCHAR END AS output
+FROM orders
+""")
+def agent_runs(spark, sf_dir):
+    tasks = table(spark, sf_dir, "orders").select("o_orderkey")
+    return agent.run_agents(tasks, next_call, {"half": half, "fail": failing}).drop("tools")
+
+
+def half(value):
+    return value // 2
+
+
+@query(f"WITH {S.PARTIES_SQL} SELECT doc_id, true AS present, ['#/b/2', '#/b/3'] AS evidence FROM p")
+def check_clause(spark, sf_dir):
+    return agent.check_clause(contract_blocks(spark, sf_dir), "governing_law", lambda text: extract.CONTRACT.classify(F.lit(None).cast("string"), text))
+
+
+# ---- evaluation
+
+KEPT_LINES = f"lines AS ({LINES[len('lines AS ') :].replace('(SELECT', 'SELECT * FROM (SELECT', 1)} WHERE {STRIP.format('text')} <> '')"
+
+
+@query(f"""
+WITH raw AS (WITH {QUALITY} SELECT 'raw' AS side, * FROM q), kept AS (WITH {QUALITY.replace(LINES, KEPT_LINES)} SELECT 'cleaned' AS side, * FROM q),
+a AS (SELECT * FROM raw UNION ALL SELECT * FROM kept)
+SELECT side, count(*) AS n_docs, round(avg(quality_score), 9) AS mean_quality, avg((quality_score < 0.75)::INT)::DOUBLE AS needs_review_rate, round(avg(garble_ratio), 9) AS mean_garble, round(avg(empty_ratio), 9) AS mean_empty,
+       quantile_disc(round(quality_score, 3), 0.5) AS median_quality, quantile_disc(round(quality_score, 3), 0.1) AS p10_quality
+FROM a GROUP BY side
+""")
+def quality_summary(spark, sf_dir):
+    raw, docs = lines(spark, sf_dir), table(spark, sf_dir, "documents")
+    side = lambda blocks, name: quality.quality_report(blocks, docs).withColumn("side", F.lit(name))
+    out = evaluate.quality_summary(side(raw, "raw").unionByName(side(raw.where(~quality.is_blank(F.col("text"))), "cleaned")))
+    return out.select("side", "n_docs", *[F.round(c, 9).alias(c) for c in ("mean_quality",)], "needs_review_rate", F.round("mean_garble", 9).alias("mean_garble"), F.round("mean_empty", 9).alias("mean_empty"), "median_quality", "p10_quality")
+
+
+@query("""
+SELECT count(*) AS n_docs, sum(n_chars) AS total_pages, round(avg(doc_id % 11 / 10.0), 9) AS coverage_mean, max(doc_id % 11 / 10.0)::DOUBLE AS coverage_max,
+       (SELECT list({'key': lang, 'value': n} ORDER BY lang) FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang))::VARCHAR AS engines
+FROM documents
+""")
+def scan_summary(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("lang").alias("engine"), F.col("n_chars").alias("page_count"), (F.col("doc_id") % 11 / 10.0).alias("text_coverage"))
+    out = evaluate.scan_summary(docs)
+    shown = F.concat(F.lit("["), F.array_join(F.transform(F.map_entries("engines"), lambda e: F.format_string("{'key': %s, 'value': %d}", e["key"], e["value"])), ", "), F.lit("]"))
+    return out.withColumns({"coverage_mean": F.round("coverage_mean", 9), "engines": shown})
+
+
+@query("""
+WITH v AS (SELECT l_linestatus || l_returnflag AS version, l_discount::DOUBLE AS quality_score, l_tax::DOUBLE AS garble_ratio, l_quantity > 25 AS needs_review, CASE WHEN l_linenumber > 2 THEN l_tax::DOUBLE END AS field_f1 FROM lineitem)
+SELECT version, count(*) AS n_docs, round(avg(quality_score), 9) AS mean_quality_score, round(avg(garble_ratio), 9) AS mean_garble_ratio, round(avg(needs_review::INT), 9) AS needs_review_rate, round(avg(field_f1), 9) AS mean_field_f1 FROM v GROUP BY version
+""")
+def degrade_summary(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem")  # noqa: E741
+    d = lambda c: F.col(c).cast("double")
+    rows = l.select(
+        F.concat("l_linestatus", "l_returnflag").alias("version"), d("l_discount").alias("quality_score"), d("l_tax").alias("garble_ratio"), F.lit(1.0).alias("mean_confidence"), (F.col("l_quantity") > 25).alias("needs_review"),
+        F.when(F.col("l_linenumber") > 2, d("l_tax")).alias("field_f1"), F.lit(None).cast("double").alias("source_accuracy"), F.lit(None).cast("double").alias("invented_ratio"),
+    )
+    out = evaluate.column_summary(rows)
+    return out.select("version", "n_docs", *[F.round(c, 9).alias(c) for c in ("mean_quality_score", "mean_garble_ratio", "needs_review_rate", "mean_field_f1")])
+
+
+CROSSCHECK_SQL = """
+o AS (SELECT l_orderkey AS page_id, l_returnflag AS kind, CASE WHEN l_linenumber = 3 THEN 'none' ELSE l_quantity::INT::VARCHAR END AS token, l_linenumber = 3 AS plain, l_linenumber % 2 = 0 AS inside FROM lineitem),
+c AS (SELECT o_orderkey AS page_id, o_orderkey % 3 <> 0 AS flagged, [(o_orderkey % 50)::VARCHAR, (o_orderkey % 7)::VARCHAR] AS missing FROM orders),
+f AS (SELECT kind, NOT plain AS digits, flagged AND NOT plain AND list_contains(missing, token) AS caught FROM o JOIN c USING (page_id) WHERE NOT inside)"""
+
+
+def crosschecked(spark, sf_dir):
+    quantity = F.col("l_quantity").cast("int").cast("string")
+    outcomes = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.col("l_returnflag").alias("kind"), F.when(F.col("l_linenumber") == 3, "none").otherwise(F.concat(quantity, F.lit(" units"))).alias("value"), (F.col("l_linenumber") % 2 == 0).alias("in_document"))
+    key = lambda n: (F.col("o_orderkey") % n).cast("string")
+    checks = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page_id"), (F.col("o_orderkey") % 3 != 0).alias("flagged"), F.array(key(50), key(7)).alias("missing"))
+    return outcomes, checks, signals.critical_tokens(F.col("value"))
+
+
+@query(f"""
+WITH {CROSSCHECK_SQL}, n AS (SELECT flagged FROM c ANTI JOIN (SELECT page_id FROM o WHERE NOT inside) x USING (page_id)),
+a AS (SELECT count(*) AS n_omitted, count(*) FILTER (WHERE caught) AS n_caught, round(avg(caught::INT), 9) AS recall, round(avg(caught::INT) FILTER (WHERE digits), 9) AS digit_recall FROM f),
+b AS (SELECT count(*) AS n_clean, count(*) FILTER (WHERE flagged) AS false_alarms, round(avg(flagged::INT), 9) AS false_alarm_rate FROM n)
+SELECT a.*, b.*, recall >= 0.5 AND false_alarm_rate <= 0.2 AS passed FROM a, b
+""")
+def crosscheck_summary(spark, sf_dir):
+    out = evaluate.crosscheck_summary(*crosschecked(spark, sf_dir))
+    return out.withColumns({c: F.round(c, 9) for c in ("recall", "digit_recall", "false_alarm_rate")})
+
+
+@query(f"WITH {CROSSCHECK_SQL} SELECT kind, count(*) AS omitted, count(*) FILTER (WHERE caught) AS caught FROM f GROUP BY kind")
+def crosscheck_by_kind(spark, sf_dir):
+    return evaluate.caught_by_kind(*crosschecked(spark, sf_dir))
+
+
+@query("""
+WITH o AS (SELECT l_returnflag AS kind, l_linenumber % 2 = 0 AS inside, l_linenumber % 3 = 0 AS located, l_quantity > 20 AS correct, l_discount > 0.05 AS garbled FROM lineitem)
+SELECT kind, count(*) AS n_gold, count(*) FILTER (WHERE NOT inside) AS n_omitted, round(avg((NOT inside)::INT), 9) AS omission_rate, count(*) FILTER (WHERE located) AS n_scored, round(avg(correct::INT) FILTER (WHERE located), 9) AS accuracy,
+       round(avg(correct::INT) FILTER (WHERE located AND garbled), 9) AS accuracy_garbled, round(avg(correct::INT) FILTER (WHERE located AND NOT garbled), 9) AS accuracy_clean
+FROM o GROUP BY GROUPING SETS ((kind), ())
+""")
+def fact_summary(spark, sf_dir):
+    n = F.col("l_linenumber")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("kind"), (n % 2 == 0).alias("in_document"), (n % 3 == 0).alias("located"), (F.col("l_quantity") > 20).alias("correct"), (F.col("l_discount") > 0.05).alias("garbled"))
+    out = evaluate.fact_summary(rows)
+    return out.withColumns({c: F.round(c, 9) for c in ("omission_rate", "accuracy", "accuracy_garbled", "accuracy_clean")})
+
+
+@query("""
+WITH f AS (SELECT lang AS field, avg(n_chars)::DOUBLE AS f1 FROM documents GROUP BY lang), b AS (SELECT field, f1 - 5 AS baseline_f1 FROM f WHERE field <> 'en'), n AS (SELECT lang AS field, count(*) AS n_failures FROM documents WHERE n_chars > 3000 GROUP BY lang)
+SELECT field, round(f1, 6) AS f1, round(baseline_f1, 6) AS baseline_f1, round(f1 - baseline_f1, 6) AS delta, coalesce(n_failures, 0)::BIGINT AS n_failures FROM f LEFT JOIN b USING (field) LEFT JOIN n USING (field)
+""")
+def compare_baseline(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumnRenamed("lang", "field")
+    fields = docs.groupBy("field").agg(F.avg("n_chars").alias("f1"))
+    out = evaluate.compare_to_baseline(fields, fields.where("field <> 'en'").withColumn("f1", F.col("f1") - 5), docs.where("n_chars > 3000"))
+    return out.select("field", *[F.round(c, 6).alias(c) for c in ("f1", "baseline_f1", "delta")], "n_failures")
+
+
+@query(f"""
+WITH {FIELD_SUMS}, t AS (SELECT sum(ok::INT) AS tp, sum(filled::INT) AS predicted, sum(gold::INT) AS gold FROM s)
+SELECT version, (SELECT count(*) FROM p) AS n_docs, CASE WHEN version <> 'dirty' THEN 1.0::DOUBLE END AS quality, CASE WHEN version <> 'dirty' THEN round(2 * (tp / predicted) * (tp / gold) / (tp / predicted + tp / gold), 9) END AS field_f1
+FROM t, (VALUES ('original'), ('dirty'), ('cleaned')) v(version)
+""")
 def cleaning_lift(spark, sf_dir):
-    blocks = contract_blocks(spark, sf_dir).where(F.col("doc_id").cast("long") < 400)
-    dirty = dirt.dirtify(blocks)
-    score = lambda b, name: quality.quality_report(b).agg(F.avg("quality_score").alias(name))
-    return score(blocks, "original").crossJoin(score(dirty, "dirty")).crossJoin(score(clean.clean(dirty), "cleaned"))  # three one-row tables
+    rows = S.parties(spark, sf_dir)
+    blocks, gold = S.contracts(rows), S.contract_gold(rows)
+    dirty = dirt.inject_whitespace_noise(dirt.inject_repeated_headers(blocks))
+
+    def scored(b):
+        count = lambda c, name: F.count_if(c).alias(name)
+        checked = metrics.score_rows(extract.contract_facts(b), gold, b, extract.CONTRACT)
+        per_doc = checked.groupBy("doc_id").agg(count(F.col("correct") & F.col("gold_filled"), "tp"), count("filled", "predicted"), count("gold_filled", "gold"))
+        return quality.quality_report(b).join(per_doc, "doc_id")
+
+    out = evaluate.lift(scored(blocks), scored(dirty), scored(clean.clean(dirty)))
+    known = F.col("version") != "dirty"  # what noise costs depends on its draws
+    return out.select("version", "n_docs", F.when(known, F.col("quality")).alias("quality"), F.when(known, F.round("field_f1", 9)).alias("field_f1"))
+
+
+# ---- pages, regions and lines of text reports
+
+
+@query("""
+SELECT l_orderkey::VARCHAR AS doc_id, '#' || l_linenumber AS block_id, l_linenumber::INT AS page, l_quantity::DOUBLE / 2 AS x0, l_suppkey::DOUBLE / 2 AS y0, (l_quantity + 10)::DOUBLE / 2 AS x1, (l_suppkey + 20)::DOUBLE / 2 AS y1 FROM lineitem WHERE l_linenumber < 5
+""")
+def page_boxes(spark, sf_dir):
+    return signals.page_boxes(boxed_items(spark, sf_dir), 300.0, 150.0)
+
+
+def boxed_items(spark, sf_dir):
+    d = lambda c, by=0: (F.col(c) + by).cast("double")
+    box = F.struct(F.col("l_linenumber").cast("int").alias("page"), d("l_quantity").alias("x0"), d("l_suppkey").alias("y0"), d("l_quantity", 10).alias("x1"), d("l_suppkey", 20).alias("y1"))
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc_id"), F.concat(F.lit("#"), "l_linenumber").alias("block_id"), F.when(F.col("l_linenumber") < 5, box).alias("bbox"))
+
+
+@query("SELECT l_orderkey::VARCHAR AS doc_id, list_sort(list_distinct(list(l_linenumber::INT))) AS pages FROM lineitem WHERE l_linenumber < 5 GROUP BY l_orderkey")
+def page_numbers(spark, sf_dir):
+    return signals.page_numbers(boxed_items(spark, sf_dir))
+
+
+@query("""
+SELECT l_orderkey AS doc_id, l_linenumber::INT AS page, coalesce(nullif(l_returnflag, 'N'), 'region') AS label, CASE WHEN l_linenumber = 1 THEN 0.0 ELSE l_discount END::DOUBLE AS score, [l_quantity::DOUBLE, l_suppkey::DOUBLE, l_quantity::DOUBLE + 1, l_suppkey::DOUBLE + 1] AS box FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber::INT, coalesce(nullif(l_returnflag, 'N'), 'region'), 1.0, [l_quantity::DOUBLE, 0, l_suppkey::DOUBLE, 9] FROM lineitem WHERE l_linenumber <> 2
+""")
+def layout_regions(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem")  # noqa: E741
+    n, label = F.col("l_linenumber").cast("int"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))
+    d = lambda c, by=0: F.col(c).cast("double") + by
+    box = F.struct(label.alias("label"), F.when(n > 1, d("l_discount")).alias("score"), F.array(d("l_quantity"), d("l_suppkey"), d("l_quantity", 1), d("l_suppkey", 1)).alias("coordinate"))
+    item = F.struct(label.alias("type"), F.when(n == 2, F.array(d("l_quantity"))).otherwise(F.array(d("l_quantity"), F.lit(0.0), d("l_suppkey"), F.lit(9.0))).alias("bbox"))
+    pages = l.select(F.col("l_orderkey").alias("doc_id"), n.alias("page"), F.array(box).alias("boxes"), F.array(item).alias("items"))
+    return signals.detected_regions(pages).unionByName(signals.legacy_regions(pages))
+
+
+@query("""
+SELECT l_returnflag AS metric, printf('  %-18s %.4f <= %.4f  [%s]', l_returnflag, max(l_discount)::DOUBLE, 0.05::DOUBLE, CASE WHEN max(l_discount) <= 0.05 THEN 'ok' ELSE 'BREACH' END) AS line FROM lineitem WHERE l_linenumber = 7 GROUP BY l_returnflag, l_linestatus
+""")
+def slo_lines(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").where("l_linenumber = 7").groupBy("l_returnflag", "l_linestatus").agg(F.max(F.col("l_discount").cast("double")).alias("value"))
+    return observe.slo_lines(rows.select(F.col("l_returnflag").alias("metric"), "value", F.lit(0.05).alias("threshold"), (F.col("value") <= 0.05).alias("ok")))
+
+
+@query("""
+SELECT entity, filename, 'by_entity/' || entity || '/' || filename AS rel_path, min(l_linenumber)::INT AS pages
+FROM (SELECT *, l_returnflag AS entity, l_suppkey || '.pdf' AS filename, min(l_orderkey * 10 + l_linenumber) OVER (PARTITION BY l_returnflag, l_suppkey) AS first FROM lineitem) WHERE l_orderkey * 10 + l_linenumber = first GROUP BY entity, filename
+""")
+def physical_documents(spark, sf_dir):
+    index = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("entity"), F.concat(F.col("l_suppkey").cast("string"), F.lit(".pdf")).alias("filename"), F.col("l_linenumber").cast("string").alias("pages"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"))
+    return files.physical_documents(index, "line").select("entity", "filename", "rel_path", "pages")
 
 
 def queries() -> dict[str, Query]:

@@ -151,3 +151,43 @@ def cached(make: Callable[[], DataFrame], spark: SparkSession, path: str) -> Dat
 
 def gold_frame(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, GOLD)
+
+
+IMAGE_SUFFIXES = ("png", "jpg", "jpeg", "tif", "tiff", "pdf")
+
+
+def scan_images(spark: SparkSession, folder: str, cap: int | None = None) -> DataFrame:
+    """Image and PDF files directly in a folder, by name; ``cap`` keeps the first ones."""
+    files = list_documents(spark, folder, recursive=False, suffixes=IMAGE_SUFFIXES).orderBy("name")
+    return files if cap is None else files.limit(cap)
+
+
+def labelled_pages(spark: SparkSession, folder: str, cap: int | None = None) -> DataFrame:
+    """page_id, image (bytes), gold_html: rows of raw_input.csv whose gold file exists, by id; ``cap`` keeps the first ones."""
+    images = spark.read.option("maxCharsPerColumn", -1).csv(f"{folder}/raw_input.csv", header=True).select(F.col("id").cast("long").alias("page_id"), "image")
+    gold = spark.read.text(f"{folder}/gold_annotation_html", wholetext=True, pathGlobFilter="gold_*.txt").select(F.regexp_extract("_metadata.file_name", r"^gold_(\d+)\.txt$", 1).cast("long").alias("page_id"), F.col("value").alias("gold_html"))
+    payload = F.when(F.col("image").startswith("data:"), F.regexp_extract("image", r"^[^,]*,(?s)(.*)$", 1)).otherwise(F.col("image"))
+    rows = images.join(gold, "page_id").select("page_id", F.unbase64(payload).alias("image"), "gold_html")
+    return rows if cap is None else rows.orderBy("page_id").limit(max(0, cap))
+
+
+def physical_documents(index: DataFrame, order: str) -> DataFrame:
+    """One row per physical file (entity, filename) of a master index, the first by ``order``; ``rel_path`` added, unreadable page counts are 0."""
+    rows = index.withColumns({"rel_path": F.concat_ws("/", F.lit("by_entity"), "entity", "filename"), "pages": F.coalesce(F.expr("try_cast(pages AS INT)"), F.lit(0))})
+    first = rows.groupBy("entity", "filename").agg(F.min_by(F.struct(*[c for c in rows.columns if c not in ("entity", "filename", order)]), order).alias("r"))
+    return first.select("entity", "filename", "r.*")
+
+
+def mixed_documents(documents: DataFrame, cap: int | None = None) -> DataFrame:
+    """Documents of mixed format, or of scanned format where there are none, by path; ``cap`` keeps the first ones."""
+    has_mixed = documents.agg(F.coalesce(F.bool_or(F.col("format") == "mixed"), F.lit(False)).alias("any"))
+    wanted = has_mixed.select(F.when(F.col("any"), "mixed").otherwise("scanned").alias("format"))
+    chosen = documents.join(F.broadcast(wanted), "format")  # one row
+    return chosen if cap is None else chosen.orderBy("rel_path").limit(cap)
+
+
+def write_facts_object(rows: DataFrame, stp: DataFrame, path: str) -> None:
+    """Per document one JSON object of its ``facts`` (array) and its ``stp`` (struct)."""
+    facts = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("field", *[c for c in rows.columns if c not in ("doc_id", "field")]))).alias("facts"))
+    whole = facts.join(stp.select("doc_id", F.struct(*[c for c in stp.columns if c != "doc_id"]).alias("stp")), "doc_id", "left")
+    whole.write.mode("overwrite").json(path)
