@@ -416,6 +416,36 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert embed_dedup.link_vectors(rows.where("false")).count() == 0
 
 
+def test_estimates_are_unbiased_and_bounds_hold():
+    rng = np.random.default_rng(3)
+    for dim in (24, 64, 100):
+        coder = embed_dedup.Coder(dim, 0, 1)
+        x = embed_dedup._unit(rng.standard_normal((150, dim)))
+        y = embed_dedup._unit(x + 0.4 * embed_dedup._unit(rng.standard_normal((150, dim))))
+        a, b = coder.code(x), coder.code(y)
+        exact = x @ y.T
+        reach = embed_dedup.CONFIDENCE * (np.sqrt((1 - a.factor**2) / (dim - 1))[:, None] + b.step / 2) / a.factor[:, None]
+        error = a.upper(b) - reach - exact
+        assert abs(error.mean()) < 0.01 and abs(np.diag(error).mean()) < 0.03
+        assert (np.abs(error) <= reach).mean() > 0.999
+        pairs = set(zip(*a.reaching(b, 0.9).tolist()))
+        assert {(i, j) for i, j in zip(*np.nonzero(exact >= 0.9))} <= pairs and len(pairs) < exact.size * (0.3 if dim < 64 else 0.02)
+
+
+@pytest.mark.parametrize("n", [6000])
+def test_recall_with_long_keys(spark, monkeypatch, n):
+    monkeypatch.setattr(embed_dedup, "CELL", 6)  # keys of 10 bits
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((n // 2, 32))
+    v = np.vstack([base, base + 0.3 * rng.standard_normal(base.shape)])
+    unit = embed_dedup._unit(v)
+    assert embed_dedup.table_shape(n, 0.9, 0.01)[0] >= 10
+    want = {(i, j) for i, j in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.9, 1)))}
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>")
+    got = embed_dedup.link_vectors(rows).toPandas()
+    assert got.n_links.sum() / 2 >= 0.97 * len(want) and len(want) > 500
+
+
 # ---- 8
 
 
