@@ -150,7 +150,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
     scored = toxicity.score(docs, model)
-    return scored.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

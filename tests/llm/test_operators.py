@@ -389,10 +389,65 @@ def test_toxicity_on_held_out_rows(spark):
     held = [i for i in range(500) if common.crc_mod_py(i, 4) == 2]
     assert np.mean([(got[i] >= 0.3) == bool(toxic[i]) for i in held]) >= 0.97
     assert all(0 <= s <= 1 for s in got.values()) and len(got) == len(texts) + len(AWKWARD)
-    assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, labels.where("false"), learnable)).collect()} == {1 / (1 + math.exp(50))}
+    assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, labels.where("false"), learnable)).collect()} == {0.0}
     assert toxicity.score(frame(spark, []), toxicity.ToxicityModel()).count() == 0
 
 
+def test_chances_add_up_to_one_and_equal_brute_force():
+    rng = random.Random(5)
+    make = lambda words: Counter(g for w in words for g in toxicity.grams(w))
+    toxic, ordinary = (make(["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 7))) for _ in range(400)]) for _ in range(2))
+    pair = toxicity.KneserNeyPair(toxic, ordinary)
+    alphabet = sorted({g[-1] for g in toxic + ordinary})
+
+    def counted(counts, n):
+        """Counts of order n: the grams themselves at the highest, else how many characters stand before."""
+        full = {g[k:] for g in counts for k in [0]}
+        for size in range(toxicity.ORDER, n, -1):
+            full = {(g, g[1:]) for g in full}
+            counts = Counter(short for _, short in full)
+            full = set(counts)
+        return counts
+
+    def chance(gram, n, own, both):
+        if n == 0:
+            return 1 / (len(alphabet) + 1)
+        c = counted(own if n > toxicity.SHARED else both, n)
+        lower = chance(gram, n - 1, own, both)
+        context = {g: x for g, x in c.items() if g[:-1] == gram[-n:-1]}
+        if not context:
+            return lower
+        total = sum(context.values())
+        return max(context.get(gram[-n:], 0) - toxicity.DISCOUNT, 0) / total + sum(min(x, toxicity.DISCOUNT) for x in context.values()) / total * lower
+
+    seen = list(toxic)[:15] + list(ordinary)[:15] + ["zzzza", "abcdz"]
+    for gram in seen:
+        got = pair.chances(gram)
+        # Below an unseen context the longer ones are unseen too, so the walk may stop.
+        assert got == pytest.approx([chance(gram, toxicity.ORDER, own, toxic + ordinary) for own in (toxic, ordinary)])
+        for side in (0, 1):
+            assert sum(pair.chances(gram[:-1] + c)[side] for c in [*alphabet, "?"]) == pytest.approx(1)
+
+
+def test_toxic_score_equals_its_definition():
+    rng = random.Random(6)
+    make = lambda words: Counter(g for w in words for g in toxicity.grams(w))
+    pair = toxicity.KneserNeyPair(make(["gruk", "grukor"] * 20 + WORDS), make(WORDS * 9))
+    model = toxicity.ToxicityModel(pair)
+    x = np.array([-0.5, 0.1, 0.2, 0.2, 0.4, 0.9, 1.5])
+    model.calibrate(x, np.array([0, 1, 0, 0, 1, 0, 1]), np.ones(7))
+    assert model.shares == pytest.approx([0, 1 / 3, 1 / 2, 1]) and model.knots == pytest.approx([-0.5, 0.5 / 3, 0.65, 1.5])
+    assert all(a < b for a, b in itertools.pairwise(map(model.likelihood, np.linspace(-2, 3, 50).tolist())))
+    low, high = toxicity.RATES
+    for t in [*AWKWARD, prose(rng, 60), prose(rng, 20) + " gruk, GRUKEN! grukor"]:
+        total, tokens = 0.0, words(t)
+        for w in tokens:
+            w = w.strip(toxicity.TRIM.decode())
+            r = min(math.prod(p / q for p, q in map(pair.chances, toxicity.grams(w))), math.exp(toxicity.STRONGEST)) if w else 1.0
+            total += math.log((1 - high + high * r) / (1 - low + low * r))
+        assert model.score(t) == pytest.approx(model.likelihood(total / math.sqrt(len(tokens)) if tokens else 0.0), rel=1e-9)
+
+
 # ---- 7
 
 
