@@ -336,7 +336,7 @@ class Model:
         return rows.where(F.col("n") >= max(least, int(enough.min()) if len(enough) else 1 << 62))
 
 
-def score(docs: DataFrame, training: DataFrame, core: int = 1_000_000, kept: int = 500_000, least: int = 2) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, core: int = 250_000, kept: int = 150_000, least: int = 2) -> DataFrame:
     """All columns of ``docs`` but its text, with n_tokens, n_known, train_tokens, base_score and score.
 
     ``training`` holds the texts to learn from; pairs and triples of at least ``least`` occurrences (2 or more) count. ``core`` words
