@@ -4,12 +4,14 @@ The patterns' hits are the labelled credentials. For each kind a prefix tree of
 character classes is built from a bounded sample of them (``examples`` per kind, the
 smallest by hash), and states whose outgoing frequencies are statistically
 compatible (Hoeffding bound) are merged into a probabilistic automaton. An automaton
-of the same make over ordinary words is the background. Every long token is then
-scored by the format's log-likelihood per character against the background's;
-those beyond the margin become spans of kind ``format``. Pattern spans always stay.
-
-Null texts count as empty; empty texts have no spans. Rows are scanned one by one:
-repeated rows give equal spans, other columns pass through untouched.
+of the same make over ordinary tokens is the background. Every token of ``SHORTEST`` characters or more (as many as the shortest labelled
+credential has) is then scored whole: the likelihood of each character under a format over that under the background, summed
+over the token and over its best stretch, so that a credential glued into a longer token counts too. Tokens whose
+odds reach ``ODDS`` become spans of kind ``format``; nothing else, neither length nor the characters' kinds, rules one out. Pattern spans always stay.
+
+Labelled strings of more than ``LONGEST`` characters are no examples. Null texts count as empty; empty texts have no spans; very long
+texts and tokens are read whole. Rows are scanned one by one:
+repeated rows give equal spans, other columns pass through untouched (``spans`` is replaced where spans are added).
 """
 
 from __future__ import annotations
@@ -25,20 +27,24 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from paperloom.llm.common import materialize
+from paperloom.llm.common import Scratch, lean
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # 20 characters or more
 HEX = re.compile(r"[0-9a-f]{24,}")  # a leftmost match is a whole run
-TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+SHORTEST = 6
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % SHORTEST)
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 WORD = re.compile(r"[A-Za-z0-9+/_.=-]{4,}")
 _CLASS = str.maketrans(
     {**{c: "h" for c in "abcdef"}, **{c: "l" for c in "ghijklmnopqrstuvwxyz"}, **{c: "H" for c in "ABCDEF"}, **{c: "U" for c in "GHIJKLMNOPQRSTUVWXYZ"}, **{c: "d" for c in "0123456789"}, **{c: "s" for c in "+/_.=-"}}
 )
 SYMBOLS = 7  # six classes and the end
-LONGEST = 200  # characters of a token that a format is read over at a time
+LONGEST = 200  # characters of an example
+ODDS = 12.0  # log-odds from which on a token is a credential: prior odds of one in e ** 12 tokens
+STRAY = 0.02  # share of characters that follow no rule
+REMEMBERED = 40  # characters of the class strings whose odds are remembered
 
 
 def may_assign(text: str) -> bool:
@@ -81,8 +87,9 @@ class Automaton:
             self._tally(state, "$", 1)
         self.slack = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_all()
-        self.cost = [{c: math.log((n + 0.1) / (self.total[q] + 0.1 * SYMBOLS)) for c, n in counts.items()} for q, counts in enumerate(self.count)]
-        self.miss = [math.log(0.1 / (t + 0.1 * SYMBOLS)) for t in self.total]
+        smooth = lambda n, total: math.log((1 - STRAY) * (n + 0.1) / (total + 0.1 * SYMBOLS) + STRAY / SYMBOLS)
+        self.cost = [{c: smooth(n, self.total[q]) for c, n in counts.items()} for q, counts in enumerate(self.count)]
+        self.miss = [smooth(0, t) for t in self.total]
 
     def _tally(self, state: int, c: str, n: int) -> None:
         self.count[state][c] = self.count[state].get(c, 0) + n
@@ -146,36 +153,45 @@ class Automaton:
                     break
         self.states = len(red)
 
-    def score(self, classes: str) -> float:
-        """Log-likelihood; from an unseen step on, the state starts anew."""
-        state, out = 0, 0.0
+    def costs(self, classes: str) -> list[float]:
+        """Log-likelihood of each character and of the end; from an unseen step on, the state starts anew."""
+        state, out = 0, []
         for c in classes:
-            out += self.cost[state].get(c, self.miss[state])
+            out.append(self.cost[state].get(c, self.miss[state]))
             state = self.next[state].get(c, 0)
-        return out + self.cost[state].get("$", self.miss[state])
+        return [*out, self.cost[state].get("$", self.miss[state])]
 
 
 class Formats:
     """The kinds' automata and the background."""
 
-    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str], margin: float = 0.6) -> None:
-        self.formats = [Automaton([s.translate(_CLASS)[:LONGEST] for s in strings]) for strings in labelled.values() if strings]
-        self.background = Automaton([s.translate(_CLASS)[:LONGEST] for s in ordinary])
-        self.margin = margin
+    def __init__(self, labelled: dict[str, list[str]], ordinary: list[str], odds: float = ODDS) -> None:
+        self.formats = [Automaton([s.translate(_CLASS) for s in strings]) for strings in labelled.values() if strings]
+        self.background = Automaton([s.translate(_CLASS) for s in ordinary])
+        self.least = odds
+        self.memo: dict[str, bool] = {}
+
+    def odds(self, classes: str) -> float:
+        """The greatest log-odds that any format has over the background, for the whole token or for a stretch of it."""
+        best, base = -math.inf, self.background.costs(classes)
+        for a in self.formats:
+            gains = [x - y for x, y in zip(a.costs(classes), base)]
+            run = high = 0.0
+            for g in gains[:-1]:
+                run = max(0.0, run + g)
+                high = max(high, run)
+            best = max(best, sum(gains), high)
+        return best
 
     def is_credential(self, token: str) -> bool:
-        """Any stretch of the token follows a format better than the background, by the margin per character.
-
-        Plain words and plain numbers (cards, phones) are no credentials.
-        """
         classes = token.translate(_CLASS)
-        if "d" not in classes or not set(classes) & set("hlHU"):
-            return False
-        for k in range(0, len(classes), LONGEST):
-            part = classes[k : k + LONGEST]
-            if len(part) >= 16 and self.formats and (max(a.score(part) for a in self.formats) - self.background.score(part)) / len(part) > self.margin:
-                return True
-        return False
+        if (found := self.memo.get(classes)) is None:
+            found = self.odds(classes) >= self.least
+            if len(classes) <= REMEMBERED:
+                if len(self.memo) > 200_000:
+                    self.memo.clear()
+                self.memo[classes] = found
+        return found
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         base = sorted(pattern_spans(text))
@@ -212,6 +228,12 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
+def outside(text: str) -> str:
+    """The text without its pattern spans; what is labelled as a credential is no ordinary token."""
+    spans = sorted(pattern_spans(text))
+    return redact(text, spans) if spans else text
+
+
 def fit_formats(docs: DataFrame, text: str = "text", examples: int = 400, ordinary: int = 2000) -> Formats:
     """Fits the automata on the ``examples`` credentials of each kind, and as many ordinary tokens, that have the smallest hashes."""
 
@@ -221,25 +243,27 @@ def fit_formats(docs: DataFrame, text: str = "text", examples: int = 400, ordina
         for pdf in batches:
             rows, words = set(), {}
             for t in pdf[text].fillna(""):
-                rows.update(("assign", m[2][:LONGEST]) for m in assignments(t))
-                rows.update(("access", m[0][:LONGEST]) for m in ACCESS.finditer(t))
-                rows.update(("hex", m[0][:LONGEST]) for m in HEX.finditer(t))
-            for w in set().union(*map(str.split, pdf[text].fillna(""))):
+                rows.update(("assign", m[2]) for m in assignments(t) if len(m[2]) <= LONGEST)
+                rows.update(("access", m[0]) for m in ACCESS.finditer(t) if len(m[0]) <= LONGEST)
+                rows.update(("hex", m[0]) for m in HEX.finditer(t) if len(m[0]) <= LONGEST)
+            for w in set().union(*(outside(t).split() for t in pdf[text].fillna(""))):
                 words[xxhash.xxh3_64_intdigest(w)] = w
             for h in nsmallest(3 * ordinary, words):
-                if WORD.fullmatch(words[h]):
-                    rows.add(("word", words[h][:LONGEST]))
+                if len(words[h]) <= LONGEST and WORD.fullmatch(words[h]):
+                    rows.add(("word", words[h]))
             words.clear()
             order = lambda x: xxhash.xxh3_64_intdigest(x[1])
             keep = [x for kind, n in most.items() for x in nsmallest(n, [r for r in rows if r[0] == kind], key=order)]
             yield pd.DataFrame(keep, columns=["kind", "value"])
 
-    found = materialize(docs.select(text).mapInPandas(gather, "kind string, value string").distinct(), "credentials")
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.keep(docs.select(text).mapInPandas(lean(gather), "kind string, value string").distinct(), "credentials")
     labelled: dict[str, list[str]] = {}
     for kind, n in most.items():
         rows = found.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(n).collect()  # bounded by n
         labelled[kind] = [r["value"] for r in rows]
-    words = [w for w in labelled.pop("word") if not pattern_spans(w)]
+    scratch.drop("credentials")
+    words = [v for w in labelled.pop("word") if not pattern_spans(w) for v in dict.fromkeys((w, w.upper(), w.capitalize(), "0" * len(w)))]  # words stand in any case, and numbers beside them
     return Formats(labelled, words)
 
 
@@ -259,7 +283,7 @@ def scan(docs: DataFrame, formats: Formats, text: str = "text", redacted: bool =
                 pdf["spans"] = [[{"start": s, "end": e, "kind": KINDS[k]} for s, k, e in x] for x in spans]
             yield pdf[names]
 
-    return docs.mapInPandas(run, schema)
+    return docs.mapInPandas(lean(run), schema)
 
 
 def digest_spans(docs: DataFrame, formats: Formats) -> DataFrame:
@@ -277,4 +301,4 @@ def digest_spans(docs: DataFrame, formats: Formats) -> DataFrame:
                 rows.append((doc, *n, hashlib.sha256(span_text(base).encode()).hexdigest(), span_text(spans)))
             yield pd.DataFrame(rows, columns=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInPandas(lean(run), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

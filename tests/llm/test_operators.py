@@ -290,7 +290,8 @@ def test_cascade_is_exact_over_its_universe(spark):
 
 
 def brute_spans(t):
-    a = [(m.start(), 0, m.end()) for m in secrets.ASSIGN.finditer(t) if len(m[2]) >= 6]
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    a = [(m.start(), 0, m.end()) for m in re.finditer(assign, t, re.I | re.A) if len(m[2]) >= 6]
     b = [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
     return sorted(a + b + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24])
 
@@ -322,6 +323,31 @@ def test_scan_adds_formats_and_redacts(spark):
     assert secrets.digest_spans(empty, secrets.fit_formats(empty)).count() == 0
 
 
+def test_formats_are_found_without_patterns(spark):
+    """Keys of learnt formats that no pattern catches are found, short, glued and without digits' help too; prose, numbers and long runs are not."""
+    rng = random.Random(14)
+    digest = lambda n: hashlib.sha1(str(rng.random()).encode()).hexdigest()[:n]
+    key = lambda n=16: "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(n))
+    plain = [f"{prose(rng, 40)} +49-{rng.randrange(10**9)} {rng.randrange(10**16)} 20{rng.randrange(10, 30)}-01-{rng.randrange(10, 28)} v1.{rng.randrange(9)} {rng.choice(WORDS)}.{rng.randrange(10, 99)}" for _ in range(200)]
+    known = [f"{prose(rng, 20)} {key()} and token = {digest(18)} end {digest(40)}" for _ in range(120)]
+    docs = frame(spark, [*plain, *known])
+    formats = secrets.fit_formats(docs)
+    found = [sum(formats.is_credential(make()) for _ in range(50)) for make in (lambda: digest(18), lambda: digest(22), lambda: key(9), lambda: f"u/{digest(20)}.x", lambda: "ZZ." + key(12))]
+    assert min(found) >= 45, found
+    spans = {r.doc_id: r.spans for r in secrets.digest_spans(frame(spark, [f"see {digest(20)} here", *plain[:100], " ".join(WORDS).upper(), "z" * 300, "+" + "12345 " * 30, "Green_Table under.cloud PAPER"]), formats).collect()}
+    assert spans[0] == "format:4:24" and not any(spans[i] for i in range(1, len(spans)))
+
+
+def test_odds_are_those_of_the_best_stretch():
+    formats = secrets.Formats({"hex": ["a1a11aa1" * 3] * 50}, ["xyazz", "1234"] * 50)  # classes h and d; l, h and d
+    assert formats.odds("ll" + "hdhddhhd" * 3) > 12 > formats.odds("llhllllhll")
+    for classes in ("hdhd", "lllhdhddhhd", "d" * 12):
+        base = formats.background.costs(classes)
+        gains = [x - y for x, y in zip(formats.formats[0].costs(classes), base)]
+        stretches = [sum(gains[i:j]) for i in range(len(classes)) for j in range(i, len(classes) + 1)]
+        assert formats.odds(classes) == pytest.approx(max(sum(gains), *stretches))
+
+
 # ---- 5
 
 
