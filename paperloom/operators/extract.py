@@ -25,21 +25,26 @@ class Finder:
     confidence: float
 
 
-def _first(finders: list[Finder], blocks: DataFrame) -> DataFrame:
-    """doc_id and one struct (value, source_block_id, confidence) per finder."""
+def _first(finders: list[Finder], blocks: DataFrame, cite: bool = False) -> DataFrame:
+    """doc_id and one struct (value, source_block_id, confidence, with ``cite`` also source_text) per finder.
+
+    Values are columns before they are compared, so that each pattern is read once a block.
+    """
+    found = blocks.select("doc_id", "pos", "block_id", *(["text"] if cite else []), *[F.when(f.cue, F.nullif(f.value, F.lit(""))).alias(f"__{f.field}") for f in finders])
     hits = []
     for f in finders:
-        found = F.when(f.cue, F.nullif(f.value, F.lit("")))
-        clause = F.struct(found.alias("value"), F.col("block_id").alias("source_block_id"), F.lit(f.confidence).alias("confidence"))
-        hits.append(F.min_by(clause, F.when(found.isNotNull(), F.col("pos"))).alias(f.field))
-    return blocks.groupBy("doc_id").agg(*hits)
+        value = F.col(f"__{f.field}")
+        clause = F.struct(value.alias("value"), F.col("block_id").alias("source_block_id"), F.lit(f.confidence).alias("confidence"), *([F.col("text").alias("source_text")] if cite else []))
+        hits.append(F.min_by(clause, F.when(value.isNotNull(), F.col("pos"))).alias(f.field))
+    return found.groupBy("doc_id").agg(*hits)
 
 
-def _long(wide: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+def _long(wide: DataFrame, fields: tuple[str, ...], cite: bool = False) -> DataFrame:
     """One row per field; a missing value is empty with confidence 0."""
-    empty = F.struct(F.lit("").alias("value"), F.lit(None).cast("string").alias("source_block_id"), F.lit(0.0).alias("confidence"))
+    none = F.lit(None).cast("string")
+    empty = F.struct(F.lit("").alias("value"), none.alias("source_block_id"), F.lit(0.0).alias("confidence"), *([none.alias("source_text")] if cite else []))
     entries = F.array(*[F.struct(F.lit(f).alias("field"), F.when(F.col(f)["value"].isNotNull(), F.col(f)).otherwise(empty).alias("c")) for f in fields])
-    return wide.select("doc_id", F.explode(entries).alias("e")).select("doc_id", "e.field", "e.c.value", "e.c.source_block_id", "e.c.confidence")
+    return wide.select("doc_id", F.explode(entries).alias("e")).select("doc_id", "e.field", "e.c.value", "e.c.source_block_id", "e.c.confidence", *(["e.c.source_text"] if cite else []))
 
 
 def _after(text: Column, cue: str, chars: int) -> Column:
@@ -54,8 +59,8 @@ def _names(c: Column) -> Column:
 _T = lambda: F.col("text")
 
 
-def contract_facts(blocks: DataFrame) -> DataFrame:
-    """The six contract fields."""
+def contract_facts(blocks: DataFrame, cite: bool = False) -> DataFrame:
+    """The six contract fields; with ``cite`` also the cited block's text, which spares later checks a join."""
     t = _T()
     law = L.jurisdiction_in(t)
     finders = [
@@ -66,7 +71,7 @@ def contract_facts(blocks: DataFrame) -> DataFrame:
         Finder("termination_notice_days", t.rlike("(?i)terminat|notice|renew"), py_strip(F.regexp_extract(t, L.NOTICE_DAYS, 0)), 0.55),
         Finder("auto_renewal", t.rlike(L.AUTO_RENEWAL), F.lit("yes"), 0.55),
     ]
-    return _long(_first(finders, blocks), CONTRACT_FIELDS)
+    return _long(_first(finders, blocks, cite), CONTRACT_FIELDS, cite)
 
 
 _NDA_DATE = regex.compile(L.NDA_DATE)
@@ -85,6 +90,7 @@ def nda_dates(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["cued", "alone"])
 
 
+#: Role labels and preamble of an NDA's parties.
 DISCLOSING, RECEIVING = r"(?i)disclos\w*\s+party|\bdiscloser\b", r"(?i)receiv\w*\s+party|\brecipient\b"
 PREAMBLE = "(?i)by and between|by and among|between"
 

@@ -137,8 +137,24 @@ def quality_problems(spark, sf_dir):
     return found.groupBy("lang").agg(F.count("*").alias("docs"), has("garble"), has("empty"))
 
 
-@query()
+TIDY = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
+TIDY_LINES = f"lines AS (SELECT doc_id, pos, {TIDY} AS text FROM ({LINES[len('lines AS (') :]} WHERE {TIDY} <> '')"
+
+
+@query(f"""
+WITH a AS (WITH {QUALITY} SELECT * FROM q), c AS (WITH {QUALITY.replace(LINES, TIDY_LINES)} SELECT * FROM q)
+SELECT a.doc_id, a.quality_score AS raw_score, a.quality_score < 0.75 AS raw_review, ((a.garble_ratio > 0.05)::INT + (a.empty_ratio > 0.1)::INT + (a.mean_confidence < 0.75)::INT)::INT AS problems,
+       c.quality_score AS clean_score, c.quality_score < 0.75 AS clean_review, c.quality_score - a.quality_score AS delta
+FROM a JOIN c USING (doc_id)
+""")
 def diagnose(spark, sf_dir):
+    raw = lines(spark, sf_dir)
+    tidy = clean.clean(raw, steps=(clean.dehyphenate, clean.strip_whitespace_noise))
+    return quality.diagnose(raw, tidy, table(spark, sf_dir, "documents")).withColumn("problems", F.size("problems"))
+
+
+@query()
+def diagnose_whole_pipeline(spark, sf_dir):
     raw = lines(spark, sf_dir)
     return quality.diagnose(raw, clean.clean(raw), table(spark, sf_dir, "documents")).withColumn("problems", F.size("problems"))
 
@@ -303,7 +319,7 @@ FIELD_SUMS = f"""{S.PARTIES_SQL}, s AS (
 def scored_rows(spark, sf_dir):
     rows = S.parties(spark, sf_dir)
     blocks = S.contracts(rows)
-    return metrics.score_rows(extract.contract_facts(blocks), S.contract_gold(rows), blocks, extract.CONTRACT)
+    return metrics.score_rows(extract.contract_facts(blocks, cite=True), S.contract_gold(rows), blocks, extract.CONTRACT)
 
 
 @query(f"""
@@ -719,6 +735,30 @@ def detect_signatures(spark, sf_dir):
     return signals.detect_signatures(lines(spark, sf_dir).withColumn("bbox", no_bbox())).select("doc_id", "closing", "sigword", "confidence", "signed")
 
 
+@query("""
+WITH k AS (SELECT o_orderkey AS k, o_orderkey % 3 = 0 AS closing, o_orderkey % 11 = 0 AS sigword,
+                  o_orderkey % 4 IN (2, 3) AND o_orderkey % 5 IN (1, 2) AND o_orderkey % 7 < 4 AND o_orderkey % 2 = 0 AS sigblock FROM orders)
+SELECT k::VARCHAR AS doc_id, closing, sigword, sigblock,
+       CASE WHEN closing OR sigword OR sigblock THEN round(1 - (CASE WHEN closing THEN 0.1 ELSE 1 END) * (CASE WHEN sigword THEN 0.2 ELSE 1 END) * (CASE WHEN sigblock THEN 0.25 ELSE 1 END), 4) ELSE 0.2 END::DOUBLE AS confidence,
+       closing OR sigword OR sigblock AS signed
+FROM k
+""")
+def signature_bands(spark, sf_dir):
+    """A body, a name line in the lower half of the page for half of the documents, and a token near it, faint for half of them."""
+    k = F.col("o_orderkey")
+    box = lambda x, y, y1: F.struct(F.lit(1).alias("page"), x.cast("double").alias("x0"), y.cast("double").alias("y0"), (x + 50).cast("double").alias("x1"), y1.cast("double").alias("y1"))
+    name_y = 900 + k % 4 * 100
+    body = F.concat(F.lit("We agree."), F.when(k % 3 == 0, " Sincerely yours").otherwise(""), F.when(k % 11 == 0, " Duly authorized").otherwise(""))
+    entry = lambda pos, text, bbox, confidence: F.struct(F.lit(pos).alias("pos"), text.alias("text"), bbox.alias("bbox"), confidence.cast("double").alias("confidence"))
+    one = F.lit(1.0)
+    entries = F.array(
+        entry(0, body, box(F.lit(10), F.lit(10), F.lit(2000)), one), entry(1, F.lit("John Smith"), box(F.lit(100), name_y, name_y + 20), one),
+        entry(2, F.lit("~~~"), box(100 + k % 7 * 100, name_y - k % 5 * 100, name_y), F.when(k % 2 == 0, 0.5).otherwise(0.9)),
+    )
+    rows = table(spark, sf_dir, "orders").select(k.cast("string").alias("doc_id"), F.explode(entries).alias("e")).select("doc_id", "e.*").withColumn("block_id", F.concat(F.lit("#"), "pos"))
+    return signals.detect_signatures(rows).select("doc_id", "closing", "sigword", "sigblock", "confidence", "signed")
+
+
 @query()
 def crosscheck(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
@@ -1066,7 +1106,7 @@ def cleaning_lift(spark, sf_dir):
 
     def scored(b):
         count = lambda c, name: F.count_if(c).alias(name)
-        checked = metrics.score_rows(extract.contract_facts(b), gold, b, extract.CONTRACT)
+        checked = metrics.score_rows(extract.contract_facts(b, cite=True), gold, b, extract.CONTRACT)
         per_doc = checked.groupBy("doc_id").agg(count(F.col("correct") & F.col("gold_filled"), "tp"), count("filled", "predicted"), count("gold_filled", "gold"))
         return quality.quality_report(b).join(per_doc, "doc_id")
 
