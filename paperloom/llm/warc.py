@@ -9,8 +9,8 @@ neighbouring ranges into one read.
 
 Null payloads are empty. Of records with equal payloads of at least ``revisit_from``
 bytes the one with the largest id is the response, the others revisit it; smaller
-ones are all responses. Null URLs are written as empty targets; a null id is a
-record without a page number. Other columns are not archived.
+ones are all responses. Several rows of that largest id and payload are all responses. Null URLs are written as empty targets, white space at a URL's
+ends is not kept; a null id is a record without a page number. Other columns are not archived.
 """
 
 from __future__ import annotations
@@ -24,12 +24,13 @@ import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from paperloom.llm.common import materialize, scratch_path
+from paperloom.llm.common import lean, materialize, scratch_path
 
 INDEX = "file string, offset long, length long, url string, digest string, page_id long, record_type string"
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 STRETCH, GAP = 4 << 20, 64 << 10
+READ = 32 << 20  # bytes of archives that a task reads
 
 
 def with_digests(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -92,7 +93,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 out.close()
 
     columns = ["page_id", "url", "payload", "digest", "target"]
-    return materialize(pages.select(*columns).mapInPandas(write, INDEX), "warc-index")
+    return materialize(pages.select(*columns).mapInPandas(lean(write), INDEX), "warc-index")
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -142,8 +143,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 i = j + 1
 
     stretch = (F.col("offset") / STRETCH).cast("long")
-    dealt = index.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
-    return dealt.mapInPandas(read, RECORDS)
+    tasks = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // READ))  # by what is read, not by the index's own size
+    dealt = index.select("file", "offset", "length").repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset")
+    return dealt.mapInPandas(lean(read), RECORDS)
 
 
 def archive_round_trip(pages: DataFrame, revisit_from: int = 1000) -> DataFrame:
