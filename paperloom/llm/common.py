@@ -103,6 +103,14 @@ def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     return wrapped
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(col: str, modulus: int) -> Column:
     """crc32 of a column's decimal text modulo ``modulus``."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % modulus

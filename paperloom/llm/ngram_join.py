@@ -40,7 +40,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.llm.common import Scratch, batched_words, bounds, chain_hashes, lean, runs, shuffles_removed
+from paperloom.llm.common import Scratch, batched_words, bounds, chain_hashes, free_name, lean, runs, shuffles_removed
 from paperloom.llm.graph import components
 
 EXTRA = 10  # k(n), in percent of a set's size
@@ -408,11 +408,12 @@ def link_documents(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFr
 def one_per_group(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the smallest id, of repeated rows one.
 
-    Rows without an id stay. All columns are kept; names that begin with two underscores are taken by the join meanwhile.
+    Rows without an id stay. All columns are kept, whatever their names.
     """
     rows = link_rows(docs, words, percent).where("doc_id is not null")
     alone = rows.where("group_row is null").select("doc_id", "text_hash")
     least = rows.where("group_row is not null").groupBy("group_row").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
-    kept = least.unionByName(alone).distinct().toDF("__doc", "__hash")
-    named = docs.where("doc_id is not null").withColumns({"__doc": F.col("doc_id"), "__hash": F.xxhash64("text")})
-    return named.join(kept, ["__doc", "__hash"], "left_semi").dropDuplicates(["__doc", "__hash"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    key = [free_name(docs, "__doc"), free_name(docs, "__hash")]
+    kept = least.unionByName(alone).distinct().toDF(*key)
+    named = docs.where("doc_id is not null").withColumns(dict(zip(key, (F.col("doc_id"), F.xxhash64("text")))))
+    return named.join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns).unionByName(docs.where("doc_id is null"))
