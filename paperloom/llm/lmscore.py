@@ -85,10 +85,7 @@ class Tally:
             order = np.argsort(heads, kind="stable")  # equal heads compress well
             for i in range(0, len(k), 200_000):
                 at = order[i : i + 200_000]
-                if self.n == 1:
-                    yield pd.DataFrame({"key": k[at], "n": n[at]})
-                else:
-                    yield pd.DataFrame({"a": heads[at], "b": k[at] ^ turned(heads[at], self.n), "n": n[at]})
+                yield pd.DataFrame({"a": heads[at], "b": ALONE if self.n == 1 else k[at] ^ turned(heads[at], self.n), "n": n[at]})
         self.parts, self.held = [], 0
 
 
@@ -141,44 +138,68 @@ class Filter:
         return self.bits[spot >> 6] >> (spot & 63) & 1 == 1
 
 
-def _counted(texts: DataFrame, n: int, pairs: Broadcast | None = None) -> DataFrame:
-    """Counts of the n-grams of all texts: key and n of words; a, b (keys of the first and last n - 1 words) and n of others.
+ALONE = 0  # the second part of a word's row among the counts of words and pairs; no word's key is 0 but by a chance of 2 ** -64
 
-    ``pairs``: the filter of the pairs that are kept; a triple is as frequent as its pairs at most, so others are left out.
+
+def _counted(texts: DataFrame, pairs: Broadcast | None = None) -> DataFrame:
+    """Counts n of the n-grams of all texts by the keys a and b of their first and last parts.
+
+    Without ``pairs``: words (a, and b is ALONE) and pairs. With ``pairs``, the filter of the pairs that are kept: triples; one is as frequent as its
+    pairs at most, so others are left out.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tally = Tally(n)
+        tallies = [Tally(3)] if pairs else [Tally(1), Tally(2)]
         for pdf in batches:
             if not len(pdf):
                 continue
             tokens, start, _ = token_run(list(pdf.text))
-            if n == 1:
-                tally.add(tokens, tokens)
+            heads, keys, at = tokens, ending(tokens, 2), ~start
+            if pairs:
+                at &= pairs.value.has(keys)
+                at[1:] &= at[:-1].copy()
+                at[:1] = False
+                heads, keys = keys, ending(keys, 3)
             else:
-                keys, at = ending(tokens, 2), ~start
-                heads = tokens
-                if n == 3:
-                    at &= pairs.value.has(keys)
-                    at[1:] &= at[:-1].copy()
-                    at[:1] = False
-                    heads, keys = keys, ending(keys, 3)
-                at = np.flatnonzero(at)
-                tally.add(keys[at], heads[at - 1])
-            if tally.full():
-                yield from tally.take()
-        yield from tally.take()
+                tallies[0].add(tokens, tokens)
+            at = np.flatnonzero(at)
+            tallies[-1].add(keys[at], heads[at - 1])
+            for t in tallies:
+                if t.full():
+                    yield from t.take()
+        for t in tallies:
+            yield from t.take()
+
+    return texts.select("text").mapInPandas(lean(run), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+class Places:
+    """Places of keys in a sorted array of 64-bit hashes, by a table over their first bits."""
 
-    by = ["key"] if n == 1 else ["a", "b"]
-    return texts.select("text").mapInPandas(lean(run), ", ".join(f"{c} long" for c in [*by, "n"])).groupBy(*by).agg(F.sum("n").alias("n"))
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        bits = max(1, (2 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self._bucket(keys), np.arange((1 << bits) + 1)).astype(np.int32)
 
+    def _bucket(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) ^ np.uint64(1 << 63)) >> self.shift).view(np.int64)
 
-def core_ids(keys: np.ndarray, core: np.ndarray) -> np.ndarray:
-    """Places of the keys among the sorted core keys, -1 for others."""
-    if not len(core):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(core, keys), len(core) - 1)
-    return np.where(core[at] == keys, at, -1)
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        """-1 for keys that are not there."""
+        if not len(self.keys):
+            return np.full(len(wanted), -1, np.int64)
+        bucket = self._bucket(wanted)
+        at, end = self.first[bucket].astype(np.int64), self.first[bucket + 1]
+        out = np.full(len(wanted), -1, np.int64)
+        todo = np.flatnonzero(at < end)
+        while len(todo):
+            hit = self.keys[at[todo]] == wanted[todo]
+            out[todo[hit]] = at[todo[hit]]
+            todo = todo[~hit]
+            at[todo] += 1
+            todo = todo[at[todo] < end[todo]]
+        return out
 
 
 @dataclass
@@ -201,20 +222,35 @@ class BackoffAutomaton:
 
     def traverse(self, ids: np.ndarray) -> float:
         """Log10 probability of a text's words; words outside the core (-1) cost only the failure arcs of the state they meet."""
-        return float(self.weights(ids, np.arange(len(ids)) == 0)[0].sum()) if len(ids) else 0.0
+        return float(self.weights(ids, np.arange(len(ids)) == 0).sum()) if len(ids) else 0.0
+
+    def pair_arcs(self, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The pair that each word ends, -1 where it has no arc; ``start`` flags the texts' first words."""
+        before = np.where(start, -1, np.roll(ids, 1))
+        return self._arcs(self.pairs, before, ids)
+
+    def triple_arcs(self, ids: np.ndarray, start: np.ndarray, arc2: np.ndarray) -> np.ndarray:
+        """The triple that each word ends, -1 where it has no arc."""
+        held = np.where(start, -1, np.roll(arc2, 1))  # the two-word history each word meets
+        return self._arcs(self.triples, held, ids)
+
+    def _arcs(self, arcs: np.ndarray, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        out = np.full(len(ids), -1, np.int64)
+        at = np.flatnonzero((states >= 0) & (ids >= 0))
+        out[at] = self._find(arcs, states[at] * self.size + ids[at])
+        return out
 
-    def weights(self, ids: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What each word costs, and the places of the pair and triple that it ends; ``start`` flags the texts' first words."""
+    def weights(self, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """What each word costs."""
         n = len(ids)
         inside = ids >= 0
-        u = np.where(start, -1, np.roll(ids, 1))
-        arc2 = self._find(self.pairs, np.where(inside & (u >= 0), u * self.size + ids, -1))  # the pair each word ends
-        held = np.where(start, -1, np.roll(arc2, 1))  # the two-word history each word meets
-        arc3 = self._find(self.triples, np.where(inside & (held >= 0), held * self.size + ids, -1))
+        arc2 = self.pair_arcs(ids, start)
+        arc3 = self.triple_arcs(ids, start, arc2)
+        u, held = (np.where(start, -1, np.roll(x, 1)) for x in (ids, arc2))
         fail2 = np.where(held >= 0, self.two_fail[held], 0.0) if len(self.two_fail) else np.zeros(n)
         fail1 = np.where(u >= 0, self.one_fail[u], 0.0)
         lower = np.where(arc2 >= 0, self.pair_log[arc2] if len(self.pair_log) else 0.0, fail1 + np.where(inside, self.root[ids], 0.0))
-        return np.where(arc3 >= 0, self.triple_log[arc3] if len(self.triple_log) else 0.0, fail2 + lower), arc2, arc3
+        return np.where(arc3 >= 0, self.triple_log[arc3] if len(self.triple_log) else 0.0, fail2 + lower)
 
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -269,15 +305,15 @@ class Model:
         self.scratch = Scratch(self.spark)
         keep, drop = self.scratch.keep, self.scratch.drop
 
-        self.words = keep(_counted(training, 1), "words")
+        both = keep(_counted(training).where((F.col("b") == ALONE) | (F.col("n") >= least)), "counted2")
+        self.words = keep(both.where(F.col("b") == ALONE).select(F.col("a").alias("key"), "n"), "words")
         whole = self.words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
         self.total, self.distinct = whole["n"], whole["v"]
         self.unit = math.log10(self.total + self.distinct + 1)
         side = lambda df, on, **cols: df.select(F.col("key").alias(on), *[F.col(c).alias(k) for k, c in cols.items()]).hint("shuffle_hash")
 
-        def kept(counts: DataFrame, shorter: DataFrame, n: int, lower: Column) -> DataFrame:
+        def kept(often: DataFrame, shorter: DataFrame, n: int, lower: Column) -> DataFrame:
             # A frequent part makes one of its partitions long; such joins can be split.
-            often = keep(counts.where(F.col("n") >= least), f"counted{n}")
             rows = often.join(side(shorter, "a", __a="n"), "a").join(side(shorter, "b", __b="n" if n == 2 else "mass"), "b")
             return rows.select("a", "b", "n", ((F.col("n") - DISCOUNT) / F.col("__a")).alias("mass"), lower.alias("lower"))
 
@@ -285,10 +321,11 @@ class Model:
             return rows.withColumn("key", joined_key(F.col("a"), F.col("b"), n))
 
         own = (F.col("__b") + 1) / F.lit(float(self.total + self.distinct + 1))
-        self.pairs = named(keep(kept(_counted(training, 2), self.words.where(F.col("n") >= least), 2, own), "pairs"), 2)
+        self.pairs = named(keep(kept(both.where(F.col("b") != ALONE), self.words.where(F.col("n") >= least), 2, own), "pairs"), 2)
         drop("counted2")
         self.pair_filter = self.spark.sparkContext.broadcast(Filter(self.pairs, self.scratch))
-        self.triples = named(keep(kept(_counted(training, 3, self.pair_filter), self.pairs, 3, F.col("__b")), "triples"), 3)
+        three = keep(_counted(training, self.pair_filter).where(F.col("n") >= least), "counted3")
+        self.triples = named(keep(kept(three, self.pairs, 3, F.col("__b")), "triples"), 3)
         drop("counted3")
         self.triple_filter = self.spark.sparkContext.broadcast(Filter(self.triples, self.scratch))
         fail = lambda rows: rows.groupBy(F.col("a").alias("key")).agg(_failure_of("mass", "lower").alias("fail"))
@@ -310,8 +347,8 @@ class Model:
         self.added = [of_words.unionByName(of_pairs), keep(of_triples, "added3")]  # what the two parts of the n-grams of a text add
         drop("triples", "fail2")
 
-    def hot(self, core: int, kept: int) -> tuple[BackoffAutomaton, np.ndarray]:
-        """The automaton of the most frequent n-grams with the whole model's weights, and its words' keys."""
+    def hot(self, core: int, kept: int) -> tuple[BackoffAutomaton, Places]:
+        """The automaton of the most frequent n-grams with the whole model's weights, and the places of its words."""
         failing = lambda rows, fails: rows.toPandas().merge(fails.join(F.broadcast(rows.select("key")), "key", "left_semi").toPandas(), on="key", how="left")
         words = failing(self.most(self.words.select("key", "n"), core, 2), self.fail1).sort_values("key")  # ``core`` at most
         keys, n = words["key"].to_numpy(np.int64), words["n"].to_numpy(np.int64)
@@ -319,7 +356,8 @@ class Model:
         root = np.log10(n + 1.0) - self.unit if len(n) else np.zeros(1)
         one_fail = words["fail"].fillna(0.0).to_numpy(float) if len(n) else np.zeros(1)
         p = failing(self.most(self.pairs, kept, 1).select("key", "a", "b", "mass"), self.fail2)  # ``kept`` at most
-        p["first"], p["second"] = (core_ids(p[c].to_numpy(np.int64), keys) for c in "ab")
+        core_places = Places(keys)
+        p["first"], p["second"] = (core_places.of(p[c].to_numpy(np.int64)) for c in "ab")
         p = p[(p["first"] >= 0) & (p["second"] >= 0)]
         p = p.assign(arc=p["first"] * size + p["second"]).sort_values("arc").reset_index(drop=True)
         place = pd.Series(p.index, p["key"])
@@ -327,7 +365,7 @@ class Model:
         t = t[t["a"].isin(place.index) & t["b"].isin(place.index)]
         t = t.assign(arc=place.reindex(t["a"]).to_numpy(np.int64) * size + p["second"].to_numpy(np.int64)[place.reindex(t["b"]).to_numpy(np.int64)]).sort_values("arc")
         as_log = lambda x: np.log10(x.to_numpy(float))
-        return BackoffAutomaton(size, root, p["arc"].to_numpy(np.int64), as_log(p["mass"]), one_fail, t["arc"].to_numpy(np.int64), as_log(t["mass"]), p["fail"].fillna(0.0).to_numpy(float)), keys
+        return BackoffAutomaton(size, root, p["arc"].to_numpy(np.int64), as_log(p["mass"]), one_fail, t["arc"].to_numpy(np.int64), as_log(t["mass"]), p["fail"].fillna(0.0).to_numpy(float)), core_places
 
     def most(self, rows: DataFrame, limit: int, least: int) -> DataFrame:
         """The rows of the least count from which on there are ``limit`` at most."""
@@ -366,13 +404,13 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
             if not len(pdf):
                 continue
             tokens, start, places = token_run(list(pdf.pop("text")))
-            ids = core_ids(tokens, core)
+            ids = core.of(tokens)
             inside = ids >= 0
             summed = lambda x: np.add.reduceat(x, places)
             pdf["n_tokens"] = summed(np.ones(len(ids), np.int64))
             pdf["__in_core"] = summed(inside.astype(np.int64))
             pdf["__base"] = summed(own_cost[ids])
-            pdf["__score"] = summed(np.where(inside, 0.0, -unit) + fsm.weights(ids, start)[0])
+            pdf["__score"] = summed(np.where(inside, 0.0, -unit) + fsm.weights(ids, start))
             yield pdf
 
     def asked(part: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -383,15 +421,15 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
                 continue
             tokens, start, places = token_run(list(pdf.text))
             text = np.repeat(pdf["__text"].to_numpy(np.int64), np.diff(np.append(places, len(tokens))))
-            ids = core_ids(tokens, core)
-            _, arc2, arc3 = fsm.weights(ids, start)
+            ids = core.of(tokens)
+            arc2 = fsm.pair_arcs(ids, start)
             pairs = ending(tokens, 2)
             may2 = ~start & pair_filter.value.has(pairs)
             if part == 0:
                 wanted = ((tokens, ids < 0), (pairs, may2 & (arc2 < 0)))
             else:
                 triples = ending(pairs, 3)
-                may3 = may2 & np.append(False, may2[:-1]) & (arc3 < 0)
+                may3 = may2 & np.append(False, may2[:-1]) & (fsm.triple_arcs(ids, start, arc2) < 0)
                 may3[may3] = triple_filter.value.has(triples[may3])
                 wanted = ((triples, may3),)
             for keys, at in wanted:
