@@ -153,12 +153,6 @@ def diagnose(spark, sf_dir):
     return quality.diagnose(raw, tidy, table(spark, sf_dir, "documents")).withColumn("problems", F.size("problems"))
 
 
-@query()
-def diagnose_whole_pipeline(spark, sf_dir):
-    raw = lines(spark, sf_dir)
-    return quality.diagnose(raw, clean.clean(raw), table(spark, sf_dir, "documents")).withColumn("problems", F.size("problems"))
-
-
 # ---- personal data
 
 
