@@ -5,8 +5,9 @@ most ``capacity`` tokens. What the packing decides on is the histogram of piece
 lengths, at most ``capacity`` rows whatever the number of pieces. Its configuration
 program (how many sequences to fill with each multiset of lengths) is solved by
 multiplicative weights: every round prices the lengths, a knapsack dynamic program
-finds the dearest filling that the counts allow, and the prices of what it uses fall. Prices over the dearest filling's price bound the
-number of sequences from below. The solution is rounded down, the program solved again for what is left, and the last
+finds the dearest fillings, and the prices of what they use fall. Prices over the dearest filling's price bound the
+number of sequences from below. Few lengths are priced with their counts, a filling a round, and the solution is rounded down; many lengths
+take a filling for each of them from every pricing, in whole sequences. The program is solved again for what is left, and the last
 remainder packed best-fit by decreasing length, all on counts. Pieces then find their place by their rank
 among the pieces of their length.
 
@@ -21,7 +22,7 @@ import math
 import zlib
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -256,19 +257,125 @@ def _sequences(patterns: Patterns) -> int:
     return sum(n for _, n in patterns)
 
 
+class Dearest:
+    """Pricing for many lengths: the dearest filling of every room, in one pass over the rooms, and so the dearest filling that holds a given length.
+
+    It knows no counts; who takes a filling looks whether there are enough pieces.
+    """
+
+    def __init__(self, capacity: int) -> None:
+        self.capacity = capacity
+        self.best = np.zeros(capacity + 1)
+        self.sums = np.empty(capacity)
+
+    def price(self, prices: np.ndarray) -> None:
+        """``prices`` by length from 0 to the capacity; lengths that are not to be used have -inf."""
+        last, back = [0] * (self.capacity + 1), np.ascontiguousarray(prices[::-1])
+        for room in range(1, self.capacity + 1):
+            sums = np.add(self.best[:room], back[self.capacity - room : self.capacity], out=self.sums[:room])
+            rest = int(sums.argmax())
+            self.best[room] = self.best[room - 1]
+            if sums[rest] > self.best[room]:
+                self.best[room], last[room] = sums[rest], room - rest
+        self.last = last
+        self.full = np.maximum.accumulate(np.where(last, np.arange(self.capacity + 1), 0)).tolist()  # the room less what stays free
+
+    def holding(self, length: int) -> dict[int, int]:
+        """Copies by length of the dearest filling that holds ``length``."""
+        fill, room = {length: 1}, self.full[self.capacity - length]
+        while room:
+            x = self.last[room]
+            fill[x] = fill.get(x, 0) + 1
+            room = self.full[room - x]
+        return fill
+
+
+def duals(counts: dict[int, int], pricing: Dearest, rounds: int = 40) -> tuple[np.ndarray, float]:
+    """Feasible prices by length, and the number of sequences that they prove necessary.
+
+    Prices start as shares of the capacity. A length whose dearest filling is worth less than the dearest of all is too
+    cheap, and rises by half of what is missing; the prices with the highest bound count.
+    """
+    capacity = pricing.capacity
+    lengths = np.array(sorted(counts))
+    need = np.array([counts[x] for x in lengths.tolist()], float)
+    now, bound, out = lengths / capacity, 0.0, np.full(capacity + 1, -np.inf)
+    for _ in range(rounds):
+        prices = np.full(capacity + 1, -np.inf)
+        prices[lengths] = now
+        pricing.price(prices)
+        top = float(pricing.best[capacity])
+        if float(need @ now) / top > bound:
+            bound, out = float(need @ now) / top, prices / top
+        missing = top - now - pricing.best[capacity - lengths]
+        if missing.max() <= 1e-9 * top:
+            break
+        now = now + missing / 2
+    return out, bound
+
+
+def whole(counts: dict[int, int], capacity: int, seed: int, rounds: int = 120, slack: float = 5e-4, nudge: float = 1e-4) -> tuple[list[tuple[Counter, int]], float]:
+    """The program in whole sequences, for many lengths: configurations with how many sequences of each, and a lower bound.
+
+    A round is due to have placed its share of every length. Lengths behind it are nudged dearer than their dual prices,
+    with some seeded noise against ties; each that is still behind takes the dearest filling that holds it, where that is worth a
+    sequence but for ``slack`` and the pieces left allow it.
+    """
+    pricing, rng = Dearest(capacity), np.random.default_rng(seed)
+    prices, bound = duals(counts, pricing)
+    lengths = np.array(sorted(counts))
+    need = np.array([counts[x] for x in lengths.tolist()], float)
+    left, worth = dict(counts), prices.tolist()
+    found: Counter = Counter()
+    for turn in range(1, rounds + 1):
+        rest = np.array([left[x] for x in lengths.tolist()])
+        behind = turn / rounds - (1 - rest / need)
+        nudged = np.full(capacity + 1, -np.inf)
+        nudged[lengths] = np.where(rest > 0, prices[lengths] * (1 + nudge * (behind + 0.1 * rng.random(len(lengths)))), -np.inf)
+        pricing.price(nudged)
+        for length in lengths[np.argsort(-behind, kind="stable")].tolist() if turn % 2 else lengths[::-1].tolist():
+            due = left[length] - counts[length] * (1 - turn / rounds)
+            if due <= 0 or not left[length]:
+                continue
+            fill = pricing.holding(length)
+            n = min(math.ceil(due / fill[length]), *(left[x] // m for x, m in fill.items()))
+            if n > 0 and sum(worth[x] * m for x, m in fill.items()) >= 1 - slack:
+                found[tuple(sorted(fill.items()))] += n
+                for x, m in fill.items():
+                    left[x] -= m * n
+    return [(Counter(dict(fill)), n) for fill, n in found.items()], bound
+
+
 def by_program(histogram: dict[int, int], capacity: int, work: int, turns: int = 12) -> tuple[Patterns, float]:
     """The program's plan and its lower bound.
 
-    Every filling is taken as often as its rounded-down number and the pieces left allow, most used first; the program is
-    solved again for the rest, until rounding gives nothing more, the bound is met, or ``turns`` are over. What is left after a turn
-    is packed best-fit or by single dearest fillings, and the turn after which this needs the fewest sequences counts.
+    One filling a pricing covers few lengths within ``work`` bundle updates, so there it is the solution. Many lengths are solved in
+    whole sequences, without regard to ``work``; only where that plan misses the bound by one in a thousand, the other is tried too, and the one that needs fewer sequences counts.
+    """
+    counts = {k: v for k, v in histogram.items() if v}
+    one_each = lambda left, turn: fractional(left, capacity, work)
+    bundles = sum(min(n, capacity // k).bit_length() for k, n in counts.items())
+    if 2 * len(counts) * bundles <= work:
+        return _turns(counts, capacity, one_each, turns)
+    made, bound = _turns(counts, capacity, lambda left, turn: whole(left, capacity, turn), turns)
+    if _sequences(made) > 1.001 * math.ceil(bound):
+        other, below = _turns(counts, capacity, one_each, turns)
+        made, bound = min(made, other, key=_sequences), max(bound, below)
+    return made, bound
+
+
+def _turns(histogram: dict[int, int], capacity: int, solve: Callable[[Counter, int], tuple[list, float]], turns: int) -> tuple[Patterns, float]:
+    """Every filling is taken as often as its rounded-down number and the pieces left allow, most used first; the program is
+    solved again for the rest, until rounding gives nothing more, the bound is met with one in a hundred tokens left, or ``turns`` are over. What is left after a turn
+    is packed best-fit or by single dearest fillings, and the last turn after which this needs the fewest sequences counts.
     """
-    left = Counter({k: v for k, v in histogram.items() if v})
+    left = Counter(histogram)
+    tokens = sum(k * v for k, v in left.items())
     out: Patterns = []
     best: Patterns | None = None
     bound = 0.0
     for turn in range(turns if left else 0):
-        fillings, below = fractional(left, capacity, work)
+        fillings, below = solve(left, turn)
         bound = bound or below
         placed = 0
         for fill, x in sorted(fillings, key=lambda f: (-f[1], sorted(f[0].items()))):
@@ -281,9 +388,10 @@ def by_program(histogram: dict[int, int], capacity: int, work: int, turns: int =
         rest = best_fit(left, capacity)
         if len(left) <= 200 and _sequences(out) + _sequences(rest) > math.ceil(bound):
             rest = min(rest, _greedy(left, capacity), key=_sequences)
-        if best is None or _sequences(out) + _sequences(rest) < _sequences(best):
+        if best is None or _sequences(out) + _sequences(rest) <= _sequences(best):
             best = out + rest
-        if not placed or not left or _sequences(best) <= math.ceil(bound):
+        few = sum(k * v for k, v in left.items()) <= tokens / 100
+        if not placed or not left or (few and _sequences(best) <= math.ceil(bound)):
             break
     return best or [], bound
 

@@ -215,6 +215,23 @@ def test_program_beats_best_fit(lengths, fewest, by_best_fit):
     assert packing.plan(lengths) == made
 
 
+def test_program_places_many_lengths(monkeypatch):
+    rng = random.Random(7)
+    lengths = Counter(min(4096, int(rng.lognormvariate(6, 1))) or 1 for _ in range(30000))
+    assert len(lengths) > 2500
+    plain, fewest = packing.best_fit, sum(n for _, n in packing.best_fit(lengths, 4096))
+    rests = []
+    monkeypatch.setattr(packing, "best_fit", lambda left, capacity: rests.append(sum(k * v for k, v in left.items())) or plain(left, capacity))
+    made, bound = packing.by_program(lengths, 4096, 100_000)
+    count = Counter()
+    for pattern, n in made:
+        assert sum(pattern) <= 4096
+        count.update({k: m * n for k, m in Counter(pattern).items()})
+    assert count == lengths and bound <= sum(n for _, n in made) <= fewest
+    assert rests[-1] <= 0.05 * sum(k * v for k, v in lengths.items())  # what best fit packs
+    assert packing.plan(lengths) == made
+
+
 def fewest_sequences(lengths, capacity):
     """By trying, for each piece in turn, every open sequence and a new one."""
     best = len(lengths)
