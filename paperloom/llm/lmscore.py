@@ -29,9 +29,9 @@ from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from paperloom.llm.common import Scratch, batched_words, lean, materialize, shuffles_removed
 
@@ -52,8 +52,22 @@ def joined_key(a: Column, b: Column, n: int) -> Column:
     return F.shiftleft(a, TURN[n]).bitwiseOR(F.shiftrightunsigned(a, 64 - TURN[n])).bitwiseXOR(b)
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """An order that brings equal 64-bit hashes together, but for those that a hash with the same first bits comes between.
+
+    The places stand in the last bits of what is sorted, which is much faster than to sort places by key.
+    """
+    low = np.uint64(max(1, len(keys).bit_length()))
+    packed = (keys.view(np.uint64) >> low << low) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << int(low)) - 1)).view(np.int64)
+
+
 class Tally:
-    """Counts of n-grams by 64-bit key, merged as they come and handed on when there are many. ``heads``: each key's first part."""
+    """Counts of n-grams by 64-bit key, merged when there are many and then handed on. ``heads``: each key's first part.
+
+    Now and then a key has two rows (see ``order_of``), whose counts are added where all tasks' are.
+    """
 
     def __init__(self, n: int) -> None:
         self.n = n
@@ -62,30 +76,31 @@ class Tally:
 
     def add(self, keys: np.ndarray, heads: np.ndarray) -> None:
         if len(keys):
-            k, at, n = np.unique(keys, return_index=True, return_counts=True)
-            self.parts.append((k, heads[at], n))
-            self.held += len(k)
+            self.parts.append((keys, heads, np.ones(len(keys), np.int64)))
+            self.held += len(keys)
 
     def merge(self) -> None:
-        if len(self.parts) > 1:
-            k, first, at = np.unique(np.concatenate([p[0] for p in self.parts]), return_index=True, return_inverse=True)
-            heads = np.concatenate([p[1] for p in self.parts])[first]
-            n = np.bincount(at, weights=np.concatenate([p[2] for p in self.parts])).astype(np.int64)
-            self.parts = [(k, heads, n)]
-            self.held = len(k)
+        if self.parts:
+            keys, heads, n = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
+            at = order_of(keys)
+            keys = keys[at]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            self.parts = [(keys[first], heads[at[first]], np.add.reduceat(n[at], first))]
+            self.held = len(first)
 
     def full(self) -> bool:
         if self.held > 2 * FLUSH:
             self.merge()
         return self.held > FLUSH and len(self.parts) == 1
 
-    def take(self) -> Iterator[pd.DataFrame]:
+    def take(self) -> Iterator[pa.RecordBatch]:
         self.merge()
         for k, heads, n in self.parts:
-            order = np.argsort(heads, kind="stable")  # equal heads compress well
+            order = order_of(heads)  # equal heads compress well
             for i in range(0, len(k), 200_000):
                 at = order[i : i + 200_000]
-                yield pd.DataFrame({"a": heads[at], "b": ALONE if self.n == 1 else k[at] ^ turned(heads[at], self.n), "n": n[at]})
+                b = np.full(len(at), ALONE) if self.n == 1 else k[at] ^ turned(heads[at], self.n)
+                yield pa.RecordBatch.from_arrays([pa.array(heads[at]), pa.array(b), pa.array(n[at])], ["a", "b", "n"])
         self.parts, self.held = [], 0
 
 
@@ -148,12 +163,12 @@ def _counted(texts: DataFrame, pairs: Broadcast | None = None) -> DataFrame:
     pairs at most, so others are left out.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies = [Tally(3)] if pairs else [Tally(1), Tally(2)]
-        for pdf in batches:
-            if not len(pdf):
+        for batch in batches:
+            if not len(batch):
                 continue
-            tokens, start, _ = token_run(list(pdf.text))
+            tokens, start, _ = token_run(batch.column(0).to_pylist())
             heads, keys, at = tokens, ending(tokens, 2), ~start
             if pairs:
                 at &= pairs.value.has(keys)
@@ -170,7 +185,7 @@ def _counted(texts: DataFrame, pairs: Broadcast | None = None) -> DataFrame:
         for t in tallies:
             yield from t.take()
 
-    return texts.select("text").mapInPandas(lean(run), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(lean(run), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 class Places:
@@ -222,7 +237,11 @@ class BackoffAutomaton:
 
     def traverse(self, ids: np.ndarray) -> float:
         """Log10 probability of a text's words; words outside the core (-1) cost only the failure arcs of the state they meet."""
-        return float(self.weights(ids, np.arange(len(ids)) == 0).sum()) if len(ids) else 0.0
+        if not len(ids):
+            return 0.0
+        start = np.arange(len(ids)) == 0
+        arc2 = self.pair_arcs(ids, start)
+        return float(self.weights(ids, start, arc2, self.triple_arcs(ids, start, arc2)).sum())
 
     def pair_arcs(self, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
         """The pair that each word ends, -1 where it has no arc; ``start`` flags the texts' first words."""
@@ -240,12 +259,10 @@ class BackoffAutomaton:
         out[at] = self._find(arcs, states[at] * self.size + ids[at])
         return out
 
-    def weights(self, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
-        """What each word costs."""
+    def weights(self, ids: np.ndarray, start: np.ndarray, arc2: np.ndarray, arc3: np.ndarray) -> np.ndarray:
+        """What each word costs, by the arcs of the pairs and triples that it ends."""
         n = len(ids)
         inside = ids >= 0
-        arc2 = self.pair_arcs(ids, start)
-        arc3 = self.triple_arcs(ids, start, arc2)
         u, held = (np.where(start, -1, np.roll(x, 1)) for x in (ids, arc2))
         fail2 = np.where(held >= 0, self.two_fail[held], 0.0) if len(self.two_fail) else np.zeros(n)
         fail1 = np.where(u >= 0, self.one_fail[u], 0.0)
@@ -393,66 +410,57 @@ def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     unit, total = model.unit, model.total
     automaton, pair_filter, triple_filter = model.automaton, model.pair_filter, model.triple_filter
 
-    own = [f for f in docs.schema if f.name != "text"]
-    plain = docs.select(*[F.col(f.name) for f in own], "text", F.xxhash64("text").alias("__text"))
-    made = "n_tokens long, __in_core long, __base double, __score double"
+    own = [f.name for f in docs.schema if f.name != "text"]
+    texts = docs.select("text", F.xxhash64("text").alias("__text"))
+    walked = pa.struct([("tokens", pa.int64()), ("core", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def asked(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words and pairs (part 0) or triples (part 1) of each text whose weight is not broadcast; part 1 also has a row for each text, with what its traversal gives."""
         fsm, core = automaton.value
         own_cost = np.append(fsm.root, -unit)
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            tokens, start, places = token_run(list(pdf.pop("text")))
-            ids = core.of(tokens)
-            inside = ids >= 0
-            summed = lambda x: np.add.reduceat(x, places)
-            pdf["n_tokens"] = summed(np.ones(len(ids), np.int64))
-            pdf["__in_core"] = summed(inside.astype(np.int64))
-            pdf["__base"] = summed(own_cost[ids])
-            pdf["__score"] = summed(np.where(inside, 0.0, -unit) + fsm.weights(ids, start))
-            yield pdf
-
-    def asked(part: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The words and pairs (part 0) or triples (part 1) of each text whose weight is not broadcast."""
-        fsm, core = automaton.value
-        for pdf in batches:
-            if not len(pdf):
+        for batch in batches:
+            if not len(batch):
                 continue
-            tokens, start, places = token_run(list(pdf.text))
-            text = np.repeat(pdf["__text"].to_numpy(np.int64), np.diff(np.append(places, len(tokens))))
+            named = batch.column(1).to_numpy(zero_copy_only=False)
+            tokens, start, places = token_run(batch.column(0).to_pylist())
+            text = np.repeat(named, np.diff(np.append(places, len(tokens))))
             ids = core.of(tokens)
             arc2 = fsm.pair_arcs(ids, start)
             pairs = ending(tokens, 2)
             may2 = ~start & pair_filter.value.has(pairs)
             if part == 0:
-                wanted = ((tokens, ids < 0), (pairs, may2 & (arc2 < 0)))
+                wanted, names = ((tokens, ids < 0), (pairs, may2 & (arc2 < 0))), ["__text", "key"]
             else:
+                arc3 = fsm.triple_arcs(ids, start, arc2)
+                inside = ids >= 0
+                summed = [np.add.reduceat(x, places) for x in (np.ones(len(ids), np.int64), inside.astype(np.int64), own_cost[ids], np.where(inside, 0.0, -unit) + fsm.weights(ids, start, arc2, arc3))]
                 triples = ending(pairs, 3)
-                may3 = may2 & np.append(False, may2[:-1]) & (fsm.triple_arcs(ids, start, arc2) < 0)
+                may3 = may2 & np.append(False, may2[:-1]) & (arc3 < 0)
                 may3[may3] = triple_filter.value.has(triples[may3])
-                wanted = ((triples, may3),)
+                wanted, names = ((triples, may3),), ["__text", "key", "walked"]
+                # No n-gram has a text's key but by a chance of 2 ** -64.
+                yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(named), pa.StructArray.from_arrays([pa.array(x) for x in summed], fields=list(walked))], names)
             for keys, at in wanted:
                 at = np.flatnonzero(at)
                 for i in range(0, len(at), 200_000):
-                    yield pd.DataFrame({"__text": text[at[i : i + 200_000]], "key": keys[at[i : i + 200_000]]})
-
-    schema = plain.drop("text").schema
-    for f in StructType.fromDDL(made):
-        schema = schema.add(f)
-    parts = materialize(plain.mapInPandas(lean(run), schema), "traversed")
+                    to = at[i : i + 200_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(text[to]), pa.array(keys[to]), *([pa.nulls(len(to), walked)] * part)], names)
+
+    row, total_of = "__text long, key long", lambda c, name: F.sum(c).alias(name)
+    forms = [
+        (row, "inner", [total_of("add", "__add2"), total_of("base", "__plain"), F.count("base").alias("__hits")]),
+        (row + ", walked struct<tokens long, core long, base double, score double>", "left", [total_of("add", "__add3"), F.count("walked").alias("__copies"), *[total_of(F.col("walked")[c], f"__{c}") for c in ("tokens", "core", "base", "score")]]),
+    ]
     slices = []
-    for part in (0, 1):  # so that the join of the texts' n-grams keeps half on disk at a time
-        texts = plain.select("text", "__text").mapInPandas(lean(partial(asked, part)), "__text long, key long")
-        weights = model.added[part].hint("shuffle_hash")
-        found = texts.join(weights, "key").groupBy("__text").agg(F.sum("add").alias("__add"), F.coalesce(F.sum("base"), F.lit(0.0)).alias("__plain"), F.count("base").alias("__hits"))
-        slices.append(materialize(found, "fetched"))
+    for part, (kind, how, sums) in enumerate(forms):  # so that the join of the texts' n-grams keeps half on disk at a time
+        rows = texts.mapInArrow(lean(partial(asked, part)), kind).join(model.added[part].hint("shuffle_hash"), "key", how)
+        slices.append(materialize(rows.groupBy("__text").agg(*sums), "fetched"))
         model.scratch.drop(*(("added1", "added2") if part == 0 else ("added3",)))
-    copies = parts.groupBy("__text").agg(F.count("*").alias("__copies"))  # equal texts have asked together
-    found = reduce(DataFrame.unionByName, slices).groupBy("__text").agg(*[F.sum(c).alias(c) for c in ("__add", "__plain", "__hits")])
-    known = found.join(copies, "__text").select("__text", *[(F.col(c) / F.col("__copies")).alias(c) for c in ("__add", "__plain")], (F.col("__hits") / F.col("__copies")).cast("long").alias("__hits"))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return parts.join(known, "__text", "left").select(
-        *[f.name for f in own], "n_tokens", (F.col("__in_core") + zero("__hits")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("__base") + zero("__plain")).alias("base_score"), (F.col("__score") + zero("__add")).alias("score"),
+    known = slices[1].join(slices[0], "__text", "left")
+    each = lambda *c: (reduce(Column.__add__, [zero(F.col(x)) for x in c]) / F.col("__copies"))  # noqa: E731 - equal texts have asked together
+    known = known.select(
+        "__text", each("__tokens").cast("long").alias("n_tokens"), each("__core", "__hits").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        each("__base", "__plain").alias("base_score"), each("__score", "__add2", "__add3").alias("score"),
     )
+    return docs.select(*own, F.xxhash64("text").alias("__text")).join(known, "__text").select(*own, *RESULTS)

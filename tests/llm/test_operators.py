@@ -635,6 +635,30 @@ def test_scores_hold_every_repeated_ngram_whatever_is_broadcast(spark, core, kep
     assert [got[i] for i in range(len(texts))] == pytest.approx(brute_scores(texts, train), rel=1e-9)
 
 
+def test_scoring_reads_the_texts_four_times(spark, monkeypatch):
+    passes, lean = [], lmscore.lean
+    monkeypatch.setattr(lmscore, "lean", lambda run: passes.append(run) or lean(run))
+    docs = frame(spark, ["a b c a b c", "a b c a b c", None, ""])
+    rows = {r.doc_id: r for r in lmscore.score(docs, docs).collect()}
+    assert len(passes) == 4  # words and pairs, triples, and a look-up for each of the two
+    assert [rows[i].n_tokens for i in range(4)] == [7, 7, 1, 1] and rows[0].score == pytest.approx(rows[1].score)
+
+
+def test_tally_counts_keys_that_share_their_first_bits():
+    rng = np.random.default_rng(5)
+    keys = rng.integers(0, 1 << 61, 3) << 2
+    keys = np.concatenate([keys, keys + 1])[rng.integers(0, 6, 1000)]  # neighbours cannot be told apart by the bits that are sorted
+    tally = lmscore.Tally(1)
+    tally.add(keys[:600], keys[:600])
+    tally.merge()
+    tally.add(keys[600:], keys[600:])
+    got = Counter()
+    for batch in tally.take():
+        for k, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            got[k] += n
+    assert got == Counter(keys.tolist())
+
+
 def test_automaton_states_add_up_to_one():
     rng = random.Random(1)
     seq = [rng.choice([0, 1, 2, 0, 1, 3]) for _ in range(4000)]
