@@ -4,7 +4,7 @@ The model grows with the corpus: every word of the training texts, and every pai
 words that occurs at least ``least`` times there, has an arc. The automaton's states are the
 histories that have arcs; an arc carries a discounted log-probability, and a failure arc
 the weight with which a state backs off to its shorter history. Counts, arcs and failure weights are
-distributed tables.
+distributed tables of packed arrays (see ``packed``), dealt by the first bits of their keys.
 
 A path's weight is a sum over the n-grams of the text: as a triple's pairs and a pair's words
 have arcs too, an n-gram adds its arc's weight, less what its text costs without that arc, plus
@@ -26,14 +26,18 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial, reduce
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from paperloom.llm.common import Scratch, batched_words, lean, materialize, shuffles_removed
+from paperloom.llm import packed
+from paperloom.llm.common import Scratch, batched_words, bounds, lean, materialize, shuffles_removed
+from paperloom.llm.packed import Arrays, Gathered, Row, Table, cut, exact_order, order_of
 
 FINISH = np.array([0x5EED0F7EE7D06], np.int64)  # the end token's key
 DISCOUNT = 0.5
@@ -47,22 +51,6 @@ def turned(keys: np.ndarray, n: int) -> np.ndarray:
     return ((x << r) | (x >> (np.uint64(64) - r))).view(np.int64)
 
 
-def joined_key(a: Column, b: Column, n: int) -> Column:
-    """The key of the n-gram whose first and last n - 1 words have the keys a and b: ``turned(a, n) ^ b``."""
-    return F.shiftleft(a, TURN[n]).bitwiseOR(F.shiftrightunsigned(a, 64 - TURN[n])).bitwiseXOR(b)
-
-
-def order_of(keys: np.ndarray) -> np.ndarray:
-    """An order that brings equal 64-bit hashes together, but for those that a hash with the same first bits comes between.
-
-    The places stand in the last bits of what is sorted, which is much faster than to sort places by key.
-    """
-    low = np.uint64(max(1, len(keys).bit_length()))
-    packed = (keys.view(np.uint64) >> low << low) | np.arange(len(keys), dtype=np.uint64)
-    packed.sort()
-    return (packed & np.uint64((1 << int(low)) - 1)).view(np.int64)
-
-
 class Tally:
     """Counts of n-grams by 64-bit key, merged when there are many and then handed on. ``heads``: each key's first part.
 
@@ -94,13 +82,10 @@ class Tally:
         return self.held > FLUSH and len(self.parts) == 1
 
     def take(self) -> Iterator[pa.RecordBatch]:
+        """Heads, keys and counts, in the order of ``order_of`` by key."""
         self.merge()
         for k, heads, n in self.parts:
-            order = order_of(heads)  # equal heads compress well
-            for i in range(0, len(k), 200_000):
-                at = order[i : i + 200_000]
-                b = np.full(len(at), ALONE) if self.n == 1 else k[at] ^ turned(heads[at], self.n)
-                yield pa.RecordBatch.from_arrays([pa.array(heads[at]), pa.array(b), pa.array(n[at])], ["a", "b", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(heads), pa.array(k), pa.array(n)], ["a", "key", "n"])
         self.parts, self.held = [], 0
 
 
@@ -129,41 +114,35 @@ def ending(keys: np.ndarray, n: int) -> np.ndarray:
 class Filter:
     """A bit per key's first FILTER_BITS bits: keys it does not hold have no arc."""
 
-    BLOCK = 1 << 15  # 64-bit words that the driver gets at a time
-
-    def __init__(self, table: DataFrame, scratch: Scratch) -> None:
-        spot = F.shiftrightunsigned("key", 64 - FILTER_BITS)
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
-        words = table.groupBy(F.shiftrightunsigned(spot, 6).cast("int").alias("w")).agg(F.bit_or(bit).alias("v"))
-        size = self.BLOCK
-
-        def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-            bits = np.zeros(size, np.int64)
-            bits[pdf["w"].to_numpy() % size] = pdf["v"].to_numpy()
-            return pd.DataFrame({"block": [int(pdf["w"].iloc[0]) // size], "bits": [bits.tobytes()]})
-
-        blocks = scratch.keep(words.groupBy((F.col("w") / size).cast("int").alias("block")).applyInPandas(packed, "block int, bits binary"), "filter")
+    def __init__(self, counted: DataFrame) -> None:
         self.bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-        for r in blocks.collect():  # 2 ** FILTER_BITS bits at most
-            self.bits[r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(r["bits"], np.int64)
-        scratch.drop("filter")
+        for r in packed.of_kind(counted, BITS).select("part", F.col("data")[0].alias("bits")).collect():  # 2 ** FILTER_BITS bits at most
+            held = np.frombuffer(r["bits"], np.int64)
+            self.bits[r["part"] * len(held) : (r["part"] + 1) * len(held)] = held
+
+    @staticmethod
+    def of_part(keys: np.ndarray, bits: int) -> bytes:
+        """The bits of the keys of one of 2 ** ``bits`` parts."""
+        held = np.zeros(1 << (FILTER_BITS - bits), np.uint8)
+        held[(keys.view(np.uint64) << np.uint64(bits) >> np.uint64(64 - FILTER_BITS + bits)).view(np.int64)] = 1
+        return np.packbits(held, bitorder="little").tobytes()
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         spot = (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).view(np.int64)
         return self.bits[spot >> 6] >> (spot & 63) & 1 == 1
 
 
-ALONE = 0  # the second part of a word's row among the counts of words and pairs; no word's key is 0 but by a chance of 2 ** -64
+WORDS, NGRAMS, BITS = 0, 1, 2  # kinds of rows among counts: keys and counts; keys, counts and heads; a filter's bits
 
 
-def _counted(texts: DataFrame, pairs: Broadcast | None = None) -> DataFrame:
-    """Counts n of the n-grams of all texts by the keys a and b of their first and last parts.
+def _counted(texts: DataFrame, bits: int, least: int, pairs: Broadcast | None = None) -> DataFrame:
+    """Counts of the n-grams of all texts, pairs and triples of ``least`` or more.
 
-    Without ``pairs``: words (a, and b is ALONE) and pairs. With ``pairs``, the filter of the pairs that are kept: triples; one is as frequent as its
+    Without ``pairs``: words and pairs. With ``pairs``, the filter of the pairs that are kept: triples; one is as frequent as its
     pairs at most, so others are left out.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
         tallies = [Tally(3)] if pairs else [Tally(1), Tally(2)]
         for batch in batches:
             if not len(batch):
@@ -181,11 +160,35 @@ def _counted(texts: DataFrame, pairs: Broadcast | None = None) -> DataFrame:
             tallies[-1].add(keys[at], heads[at - 1])
             for t in tallies:
                 if t.full():
-                    yield from t.take()
+                    yield from dealt(t)
         for t in tallies:
-            yield from t.take()
+            yield from dealt(t)
+
+    def dealt(tally: Tally) -> Iterator[Row]:
+        for batch in tally.take():
+            heads, keys, n = (c.to_numpy() for c in batch.columns)
+            yield from cut(bits, WORDS, keys, n) if tally.n == 1 else cut(bits, NGRAMS, keys, n, heads)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from packed.batched(rows(batches))
+
+    return packed.mapped(packed.met(texts.select("text").mapInArrow(lean(run), packed.SCHEMA)), partial(_summed, bits, least))
+
 
-    return texts.select("text").mapInArrow(lean(run), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+def _summed(bits: int, least: int, rows: Iterator[Arrays]) -> Iterator[Row]:
+    for (part, kind), group in groupby(rows, itemgetter(0, 1)):
+        columns = [np.concatenate(c) for c in zip(*(r[3] for r in group))]
+        at = exact_order(columns[0])
+        columns = [c[at] for c in columns]
+        first = bounds(columns[0])[:-1]
+        columns[1] = np.add.reduceat(columns[1], first)
+        keys, n, *heads = (c if i == 1 else c[first] for i, c in enumerate(columns))
+        if kind == NGRAMS:
+            often = np.flatnonzero(n >= least)
+            keys, n, heads = keys[often], n[often], [heads[0][often]]
+            if len(keys):
+                yield part, BITS, 0, [Filter.of_part(keys, bits)]
+        yield from cut(bits, kind, keys, n, *heads)
 
 
 class Places:
@@ -303,92 +306,196 @@ def build_automaton(core: np.ndarray, total: int, distinct: int, pairs: np.ndarr
     return out
 
 
-def _failure_of(mass: str, lower: str) -> Column:
-    """``_failure`` of a grouped table."""
-    rest = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-9))
-    return F.log10(rest(mass) / rest(lower))
+SHORT, SUMS, LONG, LEVEL, HOT = 0, 1, 2, 3, 4  # kinds of rows of the stages below
 
 
-class Model:
-    """The tables of a training set's model.
+def _level(cost: float, columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Keys, counts, probabilities and weights of shorter n-grams; words come with keys and counts only. ``cost`` is N + V + 1."""
+    if len(columns) == 4:
+        return [*columns[:2], *(c.view(float) for c in columns[2:])]
+    keys, n = columns
+    return [keys, n, (n + 1) / cost, np.log10(n + 1.0)]
+
+
+def _by_last(bits: int, n: int, rows: Iterator[Arrays]) -> Iterator[Row]:
+    """N-grams dealt by the keys of their last n - 1 words."""
+    held = Gathered()
+    for _, _, _, (keys, count, heads) in rows:
+        held.add(keys ^ turned(heads, n), count, heads)
+        if held.full():
+            for columns in held.take():
+                yield from cut(bits, LONG, *columns)
+    for columns in held.take():
+        yield from cut(bits, LONG, *columns)
+
+
+def _with_lower(bits: int, cost: float, rows: Iterator[Arrays]) -> Iterator[Row]:
+    """N-grams with the probability of their last n - 1 words, dealt by the keys of their first; and what these add up to for each of those."""
 
-    pairs: a, b (words), n, mass (probability), lower (the last word's own); triples: a, b (pairs), n, mass,
-    lower (the last pair's); fail1, fail2: key of a history and its failure weight. These are deleted once
-    the automaton of the frequent n-grams and ``added`` are made of them.
+    def dealt() -> Iterator[Row]:
+        for heads, lasts, count, lower in held.take():
+            first = bounds(heads)[:-1]
+            yield from cut(bits, SUMS, heads[first], np.add.reduceat(count - DISCOUNT, first), np.add.reduceat(lower, first))
+            yield from cut(bits, LONG, heads, lasts, count, lower)
+
+    held = Gathered()
+    for group in packed.by_part(rows):
+        table = Table()
+        for _, kind, _, columns in group:
+            if kind == SHORT:
+                table.add(_level(cost, columns))
+                continue
+            lasts, count, heads = columns
+            hit, at = table.find(lasts)
+            if len(hit):
+                held.add(heads[hit], lasts[hit], count[hit], table.columns[2][at])
+            if held.full():
+                yield from dealt()
+    yield from dealt()
+
+
+def _raised(bits: int, n: int, cost: float, often: int, rows: Iterator[Arrays]) -> Iterator[Row]:
+    """What shorter n-grams add to a text's weight (SHORT), the failure weights of those of ``often`` occurrences (HOT), and the level of the longer ones (LEVEL).
+
+    A part has the shorter n-grams first, then what its n-grams add up to for each history, then these.
     """
 
-    def __init__(self, training: DataFrame, least: int, core: int, kept_most: int) -> None:
-        self.spark = training.sparkSession
-        self.scratch = Scratch(self.spark)
-        keep, drop = self.scratch.keep, self.scratch.drop
+    def failures() -> np.ndarray:
+        kept = mass / table.columns[1]
+        return np.where(mass > 0, np.log10(np.maximum(1 - kept, 1e-9) / np.maximum(1 - below, 1e-9)), 0.0)
+
+    def dealt() -> Iterator[Row]:
+        for keys, count, probability, weight in held.take():
+            yield from cut(bits, LEVEL, keys, count, probability, weight) if n == 2 else cut(bits, LEVEL, keys, weight)
+
+    held = Gathered()
+    for group in packed.by_part(rows):
+        table, fail = Table(), None
+        mass = below = np.empty(0)
+        for kind, some in groupby(group, itemgetter(1)):
+            if kind == SHORT:
+                for r in some:
+                    table.add(_level(cost, r[3]))
+                mass, below = np.zeros((2, len(table.columns[0])))
+            elif kind == SUMS:
+                for _, _, _, (heads, *sums) in some:
+                    hit, at = table.find(heads)
+                    for total, x in zip((mass, below), sums):
+                        np.add.at(total, at, x.view(float)[hit])
+            else:
+                fail = failures()
+                for _, _, _, (heads, lasts, count, lower) in some:
+                    hit, at = table.find(heads)
+                    if not len(hit):
+                        continue
+                    probability = (count[hit] - DISCOUNT) / table.columns[1][at]
+                    held.add(turned(heads[hit], n) ^ lasts[hit], count[hit], probability, np.log10(probability) - np.log10(lower.view(float)[hit]) - fail[at])
+                    if held.full():
+                        yield from dealt()
+        if len(table.columns) > 1:
+            keys, count, _, weight = table.columns
+            fail = failures() if fail is None else fail
+            yield from cut(bits, SHORT, keys, count, weight + fail) if n == 2 else cut(bits, SHORT, keys, weight + fail)
+            at = np.flatnonzero(count >= often)
+            yield from cut(bits, HOT, keys[at], count[at], fail[at])
+    yield from dealt()
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many n-grams have which count, counts of 2 ** 20 and more as one; and the sum of these."""
+    for _, kind, _, (_, n, *_) in packed.arrays(batches):
+        size, at = np.unique(np.minimum(n, 1 << 20), return_inverse=True)
+        numbers = [np.full(len(size), kind), size, np.bincount(at), np.bincount(at, n).astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in numbers], ["kind", "n", "c", "total"])
+
+
+def _often(bits: int, least: int, rows: Iterator[Arrays]) -> Iterator[Row]:
+    for _, kind, _, (keys, n, *more) in rows:
+        at = np.flatnonzero(n >= least)
+        yield from cut(bits, kind, keys[at], n[at], *(x[at] for x in more))
+
+
+def _collected(rows: DataFrame, columns: int) -> list[np.ndarray]:
+    """The arrays of a small table, in order of its keys."""
+    held = [[packed.numbers(x) for x in r["data"]] for r in rows.select("data").collect()]
+    out = [np.concatenate(c) for c in zip(*held)] if held else [np.empty(0, np.int64)] * columns
+    at = np.argsort(out[0])
+    return [c[at] for c in out]
 
-        both = keep(_counted(training).where((F.col("b") == ALONE) | (F.col("n") >= least)), "counted2")
-        self.words = keep(both.where(F.col("b") == ALONE).select(F.col("a").alias("key"), "n"), "words")
-        whole = self.words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-        self.total, self.distinct = whole["n"], whole["v"]
-        self.unit = math.log10(self.total + self.distinct + 1)
-        side = lambda df, on, **cols: df.select(F.col("key").alias(on), *[F.col(c).alias(k) for k, c in cols.items()]).hint("shuffle_hash")
 
-        def kept(often: DataFrame, shorter: DataFrame, n: int, lower: Column) -> DataFrame:
-            # A frequent part makes one of its partitions long; such joins can be split.
-            rows = often.join(side(shorter, "a", __a="n"), "a").join(side(shorter, "b", __b="n" if n == 2 else "mass"), "b")
-            return rows.select("a", "b", "n", ((F.col("n") - DISCOUNT) / F.col("__a")).alias("mass"), lower.alias("lower"))
+class Model:
+    """The tables of a training set's model: what words, pairs and triples add to the weight of a text that has them.
 
-        def named(rows: DataFrame, n: int) -> DataFrame:
-            return rows.withColumn("key", joined_key(F.col("a"), F.col("b"), n))
+    Counts and levels (key, count, probability, weight) are deleted once these and the automaton of the frequent n-grams are made of them.
+    """
 
-        own = (F.col("__b") + 1) / F.lit(float(self.total + self.distinct + 1))
-        self.pairs = named(keep(kept(both.where(F.col("b") != ALONE), self.words.where(F.col("n") >= least), 2, own), "pairs"), 2)
+    def __init__(self, training: DataFrame, least: int, core: int, kept: int) -> None:
+        spark = training.sparkSession
+        self.scratch = Scratch(spark)
+        keep, drop, broadcast = self.scratch.keep, self.scratch.drop, spark.sparkContext.broadcast
+        size = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        # Parts of up to 4 MB of text, of 1 MB where there are less than 256. Smaller parts would be dealt more evenly, but in many small rows.
+        self.bits = min(20, max(6, min(8, (size >> 20).bit_length()), (size >> 22).bit_length()))
+        bits, of_kind, least = self.bits, packed.of_kind, max(least, 2)
+
+        counted = keep(_counted(training, bits, least), "counted2", by="kind")
+        sizes = self.sizes(counted)
+        words = sizes[sizes["kind"] == WORDS]
+        self.total, self.distinct = int(words["total"].sum()), int(words["c"].sum())
+        self.unit, cost = math.log10(self.total + self.distinct + 1), float(self.total + self.distinct + 1)
+
+        def raised(n: int, shorter: DataFrame, often: int) -> DataFrame:
+            lower = packed.mapped(packed.met(shorter, packed.mapped(of_kind(counted, NGRAMS), partial(_by_last, bits, n))), partial(_with_lower, bits, cost))
+            return keep(packed.mapped(packed.met(shorter, lower), partial(_raised, bits, n, cost, often)), f"raised{n}", by="kind")
+
+        core_least, pair_least = self.fewest(sizes, WORDS, core, 2), self.fewest(sizes, NGRAMS, kept, least)
+        hot_pairs = _collected(packed.mapped(of_kind(counted, NGRAMS), partial(_often, bits, pair_least)), 3)  # ``kept`` at most
+        self.pair_filter = broadcast(Filter(counted))
+        of_words = raised(2, of_kind(counted, WORDS, SHORT), core_least)
         drop("counted2")
-        self.pair_filter = self.spark.sparkContext.broadcast(Filter(self.pairs, self.scratch))
-        three = keep(_counted(training, self.pair_filter).where(F.col("n") >= least), "counted3")
-        self.triples = named(keep(kept(three, self.pairs, 3, F.col("__b")), "triples"), 3)
-        drop("counted3")
-        self.triple_filter = self.spark.sparkContext.broadcast(Filter(self.triples, self.scratch))
-        fail = lambda rows: rows.groupBy(F.col("a").alias("key")).agg(_failure_of("mass", "lower").alias("fail"))
-        self.fail1, self.fail2 = keep(fail(self.pairs), "fail1"), keep(fail(self.triples), "fail2")
-        back = lambda fails, on, name: side(fails, on, **{name: "fail"})
-        zero = lambda c: F.coalesce(c, F.lit(0.0))
-        gain = F.log10("mass") - F.log10("lower")
-        none = F.lit(None).cast("double")
-        plain = F.log10(F.col("n") + 1)
-        self.automaton = self.spark.sparkContext.broadcast(self.hot(core, kept_most))
-        # What an n-gram adds to a text's weight; of words also what they add to the sum of unigrams.
-        of_words = self.words.join(back(self.fail1, "key", "__own"), "key", "left").select("key", plain.alias("base"), (plain + zero(F.col("__own"))).alias("add"))
-        of_pairs = self.pairs.join(back(self.fail1, "a", "__short"), "a").join(back(self.fail2, "key", "__own"), "key", "left").select("key", none.alias("base"), (gain - F.col("__short") + zero(F.col("__own"))).alias("add"))
-        of_triples = self.triples.join(back(self.fail2, "a", "__short"), "a").select("key", none.alias("base"), (gain - F.col("__short")).alias("add"))
-        of_words = keep(of_words, "added1")
-        drop("words")
-        of_pairs = keep(of_pairs, "added2")
-        drop("pairs", "fail1")
-        self.added = [of_words.unionByName(of_pairs), keep(of_triples, "added3")]  # what the two parts of the n-grams of a text add
-        drop("triples", "fail2")
-
-    def hot(self, core: int, kept: int) -> tuple[BackoffAutomaton, Places]:
-        """The automaton of the most frequent n-grams with the whole model's weights, and the places of its words."""
-        failing = lambda rows, fails: rows.toPandas().merge(fails.join(F.broadcast(rows.select("key")), "key", "left_semi").toPandas(), on="key", how="left")
-        words = failing(self.most(self.words.select("key", "n"), core, 2), self.fail1).sort_values("key")  # ``core`` at most
-        keys, n = words["key"].to_numpy(np.int64), words["n"].to_numpy(np.int64)
+        counted = keep(_counted(training, bits, least, self.pair_filter), "counted3", by="kind")
+        triple_least = self.fewest(self.sizes(counted), NGRAMS, kept, least)
+        hot_triples = _collected(packed.mapped(of_kind(counted, NGRAMS), partial(_often, bits, triple_least)), 3)  # ``kept`` at most
+        self.triple_filter = broadcast(Filter(counted))
+        of_pairs = raised(3, of_kind(of_words, LEVEL, SHORT), pair_least)
+        drop("counted3", f"raised2/kind={LEVEL}")
+        self.automaton = broadcast(self.hot(_collected(of_kind(of_words, HOT), 3), _collected(of_kind(of_pairs, HOT), 3), hot_pairs, hot_triples))
+        # What the two parts of the n-grams of a text add.
+        self.added = [[of_kind(of_words, SHORT, 0), of_kind(of_pairs, SHORT, 1)], [of_kind(of_pairs, LEVEL, 1)]]
+
+    def sizes(self, counted: DataFrame) -> pd.DataFrame:
+        found = counted.where(F.col("kind") != BITS).mapInArrow(_frequencies, "kind long, n long, c long, total long")
+        return found.groupBy("kind", "n").agg(F.sum("c").alias("c"), F.sum("total").alias("total")).toPandas()  # 2 ** 20 rows a kind at most
+
+    def fewest(self, sizes: pd.DataFrame, kind: int, limit: int, least: int) -> int:
+        """The least count from which on there are ``limit`` n-grams at most."""
+        of = sizes[sizes["kind"] == kind].sort_values("n", ascending=False)
+        enough = of["n"][of["c"].cumsum() <= limit]
+        return max(least, int(enough.min()) if len(enough) else 1 << 62)
+
+    def hot(self, words: list[np.ndarray], failing: list[np.ndarray], pairs: list[np.ndarray], triples: list[np.ndarray]) -> tuple[BackoffAutomaton, Places]:
+        """The automaton of the most frequent n-grams with the whole model's weights, and the places of its words.
+
+        ``words``, ``failing`` (pairs): keys, counts and failure weights; ``pairs``, ``triples``: keys, counts and heads.
+        """
+        keys, n, one_fail = words[0], words[1], words[2].view(float)
         size = max(1, len(keys))
         root = np.log10(n + 1.0) - self.unit if len(n) else np.zeros(1)
-        one_fail = words["fail"].fillna(0.0).to_numpy(float) if len(n) else np.zeros(1)
-        p = failing(self.most(self.pairs, kept, 1).select("key", "a", "b", "mass"), self.fail2)  # ``kept`` at most
-        core_places = Places(keys)
-        p["first"], p["second"] = (core_places.of(p[c].to_numpy(np.int64)) for c in "ab")
-        p = p[(p["first"] >= 0) & (p["second"] >= 0)]
-        p = p.assign(arc=p["first"] * size + p["second"]).sort_values("arc").reset_index(drop=True)
-        place = pd.Series(p.index, p["key"])
-        t = self.most(self.triples, kept, 1).select("a", "b", "mass").toPandas()  # ``kept`` at most
-        t = t[t["a"].isin(place.index) & t["b"].isin(place.index)]
-        t = t.assign(arc=place.reindex(t["a"]).to_numpy(np.int64) * size + p["second"].to_numpy(np.int64)[place.reindex(t["b"]).to_numpy(np.int64)]).sort_values("arc")
-        as_log = lambda x: np.log10(x.to_numpy(float))
-        return BackoffAutomaton(size, root, p["arc"].to_numpy(np.int64), as_log(p["mass"]), one_fail, t["arc"].to_numpy(np.int64), as_log(t["mass"]), p["fail"].fillna(0.0).to_numpy(float)), core_places
-
-    def most(self, rows: DataFrame, limit: int, least: int) -> DataFrame:
-        """The rows of the least count from which on there are ``limit`` at most."""
-        sizes = rows.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("c")).toPandas().sort_values("n", ascending=False)  # 2 ** 20 rows at most
-        enough = sizes["n"][sizes["c"].cumsum() <= limit]
-        return rows.where(F.col("n") >= max(least, int(enough.min()) if len(enough) else 1 << 62))
+        core = Places(keys)
+        key, count, heads = pairs
+        first, second = core.of(heads), core.of(key ^ turned(heads, 2))
+        at = np.flatnonzero((first >= 0) & (second >= 0))
+        at = at[np.argsort(first[at] * size + second[at])]
+        key, count, first, second = key[at], count[at], first[at], second[at]
+        two_fail = failing[2].view(float)[np.searchsorted(failing[0], key)] if len(key) else np.empty(0)
+        place = pd.Series(np.arange(len(key)), key)
+        held, last = (place.reindex(x).fillna(-1).to_numpy(np.int64) for x in (triples[2], triples[0] ^ turned(triples[2], 3)))
+        at = np.flatnonzero((held >= 0) & (last >= 0))
+        arc = held[at] * size + second[last[at]]
+        at, arc = at[np.argsort(arc)], np.sort(arc)
+        triple_log = np.log10((triples[1][at] - DISCOUNT) / count[held[at]])
+        pair_log = np.log10((count - DISCOUNT) / n[first]) if len(key) else np.empty(0)
+        return BackoffAutomaton(size, root, first * size + second, pair_log, one_fail if len(n) else np.zeros(1), arc, triple_log, two_fail), core
 
 
 def score(docs: DataFrame, training: DataFrame, core: int = 250_000, kept: int = 150_000, least: int = 2) -> DataFrame:
@@ -406,61 +513,132 @@ def score(docs: DataFrame, training: DataFrame, core: int = 250_000, kept: int =
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+BLOCK = 100_000  # texts of a block, about
+ADDED, ASKED, TEXTS = 0, 2, 4  # kinds of rows of a look-up: tables, what is asked of them (words, then n-grams, both), and a block's texts
+
+
+def _looked_up(bits: int, rows: Iterator[Arrays]) -> Iterator[Row]:
+    """For the places of each block's texts what the n-grams that they ask for add, to their weight and (words) to the sum of unigrams, and how many there are."""
+
+    def sums() -> Iterator[Row]:
+        for block, answers in found.items():
+            spots, *columns = (np.concatenate(c) for c in zip(*answers))
+            touched = np.flatnonzero(np.bincount(spots))
+            yield _home(block, bits), ASKED, block, [packed.planes(x) for x in (touched, *(np.bincount(spots, c)[touched] for c in columns))]
+        found.clear()
+
+    found: dict[int, list[tuple[np.ndarray, ...]]] = {}
+    n = 0
+    for group in packed.by_part(rows):
+        tables = [Table(), Table()]
+        for part, kind, block, columns in group:
+            if kind == TEXTS:
+                yield part, TEXTS, block, [packed.planes(x) for x in columns]
+            elif kind < ASKED:
+                tables[kind].add(columns)
+            else:
+                table = tables[kind - ASKED]
+                hit, at = table.find(columns[0])
+                if not len(hit):
+                    continue
+                add, word = table.columns[-1].view(float)[at], kind == ASKED
+                base = np.log10(table.columns[1][at] + 1.0) if word else np.zeros(len(hit))
+                found.setdefault(block, []).append((columns[1][hit], add, base, np.full(len(hit), float(word))))
+                n += len(hit)
+                if n > packed.FLUSH:
+                    yield from sums()
+                    n = 0
+    yield from sums()
+
+
+def _home(block: int, bits: int) -> int:
+    """The part in which a block's rows meet."""
+    mixed = (block ^ block >> 24) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+    return mixed >> 64 - bits
+
+
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text of a block: its name, what its traversal gives, and what its look-ups add."""
+    for _, group in groupby(packed.arrays(batches), itemgetter(2)):
+        texts, sums = None, None
+        for _, kind, _, columns in sorted(group, key=lambda r: -r[1]):
+            if kind == TEXTS:
+                texts, sums = columns, np.zeros((3, len(columns[0])))
+            else:
+                for total, x in zip(sums, columns[1:]):
+                    np.add.at(total, columns[0], x.view(float))
+        yield pa.RecordBatch.from_arrays([pa.array(texts[0]), *(pa.array(x.view(float)) for x in texts[1:]), *map(pa.array, sums)], TOLD)
+
+
+TOLD = ["__text", "tokens", "core", "base", "score", "add", "plain", "hits"]
+
+
 def _scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
-    unit, total = model.unit, model.total
+    unit, total, bits = model.unit, model.total, model.bits
     automaton, pair_filter, triple_filter = model.automaton, model.pair_filter, model.triple_filter
 
     own = [f.name for f in docs.schema if f.name != "text"]
     texts = docs.select("text", F.xxhash64("text").alias("__text"))
-    walked = pa.struct([("tokens", pa.int64()), ("core", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
-    def asked(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The words and pairs (part 0) or triples (part 1) of each text whose weight is not broadcast; part 1 also has a row for each text, with what its traversal gives."""
+    def asked(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
+        """The words and pairs (part 0) or triples (part 1) of each text whose weight is not broadcast, and the texts themselves with what their traversal gives (part 1)."""
         fsm, core = automaton.value
         own_cost = np.append(fsm.root, -unit)
+        held, told, block = [Gathered(), Gathered()], [], TaskContext.get().partitionId() << 24
+
+        def dealt() -> Iterator[Row]:
+            if told:
+                yield _home(block, bits), TEXTS, block, [packed.planes(np.concatenate(x)) for x in zip(*told)]
+            for kind, of in enumerate(held):
+                for columns in of.take():
+                    yield from cut(bits, ASKED + kind, *columns, block=block)
+
         for batch in batches:
             if not len(batch):
                 continue
             named = batch.column(1).to_numpy(zero_copy_only=False)
             tokens, start, places = token_run(batch.column(0).to_pylist())
-            text = np.repeat(named, np.diff(np.append(places, len(tokens))))
+            text = np.repeat(np.arange(len(named)) + sum(len(x[0]) for x in told), np.diff(np.append(places, len(tokens))))
             ids = core.of(tokens)
             arc2 = fsm.pair_arcs(ids, start)
             pairs = ending(tokens, 2)
             may2 = ~start & pair_filter.value.has(pairs)
+            summed = [np.zeros(len(named))] * 4
             if part == 0:
-                wanted, names = ((tokens, ids < 0), (pairs, may2 & (arc2 < 0))), ["__text", "key"]
+                wanted = ((0, tokens, ids < 0), (1, pairs, may2 & (arc2 < 0)))
             else:
                 arc3 = fsm.triple_arcs(ids, start, arc2)
                 inside = ids >= 0
-                summed = [np.add.reduceat(x, places) for x in (np.ones(len(ids), np.int64), inside.astype(np.int64), own_cost[ids], np.where(inside, 0.0, -unit) + fsm.weights(ids, start, arc2, arc3))]
+                summed = [np.add.reduceat(x, places) for x in (np.ones(len(ids)), inside.astype(float), own_cost[ids], np.where(inside, 0.0, -unit) + fsm.weights(ids, start, arc2, arc3))]
                 triples = ending(pairs, 3)
                 may3 = may2 & np.append(False, may2[:-1]) & (arc3 < 0)
                 may3[may3] = triple_filter.value.has(triples[may3])
-                wanted, names = ((triples, may3),), ["__text", "key", "walked"]
-                # No n-gram has a text's key but by a chance of 2 ** -64.
-                yield pa.RecordBatch.from_arrays([pa.array(named), pa.array(named), pa.StructArray.from_arrays([pa.array(x) for x in summed], fields=list(walked))], names)
-            for keys, at in wanted:
+                wanted = ((1, triples, may3),)
+            told.append((named, *summed))
+            for kind, keys, at in wanted:
                 at = np.flatnonzero(at)
-                for i in range(0, len(at), 200_000):
-                    to = at[i : i + 200_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(text[to]), pa.array(keys[to]), *([pa.nulls(len(to), walked)] * part)], names)
-
-    row, total_of = "__text long, key long", lambda c, name: F.sum(c).alias(name)
-    forms = [
-        (row, "inner", [total_of("add", "__add2"), total_of("base", "__plain"), F.count("base").alias("__hits")]),
-        (row + ", walked struct<tokens long, core long, base double, score double>", "left", [total_of("add", "__add3"), F.count("walked").alias("__copies"), *[total_of(F.col("walked")[c], f"__{c}") for c in ("tokens", "core", "base", "score")]]),
-    ]
+                held[kind].add(keys[at], text[at])
+            if sum(x.n for x in held) > packed.FLUSH or sum(len(x[0]) for x in told) > BLOCK:
+                yield from dealt()
+                told, block = [], block + 1
+        yield from dealt()
+
+    def run(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from packed.batched(asked(part, batches))
+
     slices = []
-    for part, (kind, how, sums) in enumerate(forms):  # so that the join of the texts' n-grams keeps half on disk at a time
-        rows = texts.mapInArrow(lean(partial(asked, part)), kind).join(model.added[part].hint("shuffle_hash"), "key", how)
-        slices.append(materialize(rows.groupBy("__text").agg(*sums), "fetched"))
-        model.scratch.drop(*(("added1", "added2") if part == 0 else ("added3",)))
-    zero = lambda c: F.coalesce(c, F.lit(0))
+    for part in range(2):  # so that the look-up of the texts' n-grams keeps half on disk at a time
+        rows = texts.mapInArrow(lean(partial(run, part)), packed.SCHEMA)
+        found = packed.mapped(packed.met(*model.added[part], rows), partial(_looked_up, bits))
+        each = packed.met(found, by=("part", "block")).mapInArrow(_told, "__text long, " + ", ".join(f"{c} double" for c in TOLD[1:]))
+        # Equal texts have equal numbers.
+        slices.append(materialize(each.groupBy("__text").agg(*[F.max(c).alias(f"__{c}{part}") for c in TOLD[1:]]), "fetched"))
+        model.scratch.drop(*(("raised2", f"raised3/kind={SHORT}") if part == 0 else ("raised3",)))
     known = slices[1].join(slices[0], "__text", "left")
-    each = lambda *c: (reduce(Column.__add__, [zero(F.col(x)) for x in c]) / F.col("__copies"))  # noqa: E731 - equal texts have asked together
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    each = lambda *c: reduce(Column.__add__, [zero(F.col(f"__{x}")) for x in c])
     known = known.select(
-        "__text", each("__tokens").cast("long").alias("n_tokens"), each("__core", "__hits").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        each("__base", "__plain").alias("base_score"), each("__score", "__add2", "__add3").alias("score"),
+        "__text", each("tokens1").cast("long").alias("n_tokens"), each("core1", "hits0").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        each("base1", "plain0").alias("base_score"), each("score1", "add0", "add1").alias("score"),
     )
     return docs.select(*own, F.xxhash64("text").alias("__text")).join(known, "__text").select(*own, *RESULTS)

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from paperloom.llm import chat, common, decontam, embed_dedup, graph, lmscore, ngram_join, packing, queries, secrets, toxicity, url_filter, warc
+from paperloom.llm import chat, common, decontam, embed_dedup, graph, lmscore, ngram_join, packed, packing, queries, secrets, toxicity, url_filter, warc
 
 DOCS = "doc_id long, text string, lang string, spans string, score double"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -644,6 +644,31 @@ def test_scoring_reads_the_texts_four_times(spark, monkeypatch):
     assert [rows[i].n_tokens for i in range(4)] == [7, 7, 1, 1] and rows[0].score == pytest.approx(rows[1].score)
 
 
+def test_ngrams_are_shuffled_as_arrays(spark):
+    rng = random.Random(9)
+    seqs = [[*words(t), ""] for t in (prose(rng, 300) for _ in range(60))]
+    rows = lmscore._counted(frame(spark, [" ".join(s) for s in seqs]), 6, 2).collect()
+    assert len(rows) <= 3 * 2**6  # of each part its words, its pairs and its bits of the filter, and not a row for each n-gram
+    sizes = lambda kind: sorted(n for r in rows if r.kind == kind for n in packed.numbers(r.data[1]).tolist())
+    pairs = Counter(p for s in seqs for p in zip(s, s[1:]))
+    assert sizes(lmscore.NGRAMS) == sorted(n for n in pairs.values() if n >= 2)
+    assert sizes(lmscore.WORDS) == sorted(Counter(w for s in seqs for w in s).values())
+    assert len({lmscore._home(task << 24, 6) for task in range(1000)}) == 64  # the first blocks of all tasks
+
+
+def test_packed_tables_find_their_keys():
+    rng = np.random.default_rng(3)
+    keys = np.unique((rng.integers(0, 1 << 50, 400) << 2)[:, None] + np.arange(2)).astype(np.int64)  # neighbours differ in the last bit
+    mixed = rng.permutation(keys)
+    table = packed.Table()
+    for some in (mixed[:300], mixed[300:]):
+        (row,) = packed.cut(6, 0, some[packed.order_of(some)], some[packed.order_of(some)] / 2)
+        table.add([packed.numbers(x) for x in row[3]])
+    hit, at = table.find(np.append(mixed, keys[:5] + 2))
+    assert hit.tolist() == list(range(len(keys))) and (table.columns[0][at] == mixed).all() and (table.columns[1].view(float)[at] == mixed / 2).all()
+    assert len(packed.numbers(packed.planes(np.empty(0)))) == 0 and not len(packed.Table().find(keys)[0])
+
+
 def test_tally_counts_keys_that_share_their_first_bits():
     rng = np.random.default_rng(5)
     keys = rng.integers(0, 1 << 61, 3) << 2
